@@ -32,9 +32,9 @@ def targets(sources: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: fl
 
 
 def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, repeat: float = 2.0, tilt: float = 0.5) -> DataFrame:
-    """One row a document: doc_id, source, size, source_size, target, taken, copies, position; sorted by position.
+    """One row a document: doc_id, source, size, source_size, target, taken, positions, position; sorted by position.
 
-    Schedule: source s has weight target * (1 + tilt_s * (1 - 2 t)) at time t in 0..1, where tilt_s runs from tilt for the source that comes first by name to -tilt for the last; its integral, target * (t + tilt_s * (t - t^2)), is inverted in closed form. Documents of a source come in the order of a hash of their ids; a document whose place in that stream is c is due when the integral reaches c. The stream repeats up to repeat times; what lies before the target is taken, so taken is a part of a document only at the stream's end, and each source's sum differs from its target by less than a word. copies: passes of which at least half of the document is taken.
+    Schedule: source s has weight target * (1 + tilt_s * (1 - 2 t)) at time t in 0..1, where tilt_s runs from tilt for the source that comes first by name to -tilt for the last; its integral, target * (t + tilt_s * (t - t^2)), is inverted in closed form. Documents of a source come in the order of a hash of their ids; a document whose place in that stream is c is due when the integral reaches c. The stream repeats up to repeat times; what lies before the target is taken, so taken is a part of a document only at the stream's end, and each source's sum differs from its target by less than a word. positions: one for each pass of which at least half of the document is taken; position: the first pass's.
 
     Null texts have size 0; null sources are one source, ordered last; rows with equal or null ids are rows of their own, ordered by size too; empty tables give none. A hot source is cut into buckets of its hash order: bucket sums are added up first, and only then the rows inside each bucket.
     """
@@ -59,7 +59,13 @@ def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
     passes = range(int(repeat) + (repeat % 1 > 0))
     taken = [F.greatest(F.lit(0), F.least(size, goal - c - k * F.col("source_size"))) for k in passes]
     # inverse of t + a (t - t^2) = u, the stable form of the quadratic's root
-    u, a = F.least(F.lit(1.0), c / F.col("target")), F.col("__tilt")
-    position = F.when(F.col("target") <= 0, F.lit(1.0)).otherwise(2 * u / ((1 + a) + F.sqrt(F.greatest(F.lit(0.0), (1 + a) * (1 + a) - 4 * a * u))))
-    out = placed.select("doc_id", "source", "size", "source_size", "target", sum(taken[1:], taken[0]).cast("long").alias("taken"), sum(((2 * x >= size) & (x > 0)).cast("int") for x in taken).alias("copies"), position.alias("position"))
+    a = F.col("__tilt")
+
+    def due(at):
+        u = F.least(F.lit(1.0), at / F.col("target"))
+        return F.when(F.col("target") <= 0, F.lit(1.0)).otherwise(2 * u / ((1 + a) + F.sqrt(F.greatest(F.lit(0.0), (1 + a) * (1 + a) - 4 * a * u))))
+
+    whole = [(2 * x >= size) & (x > 0) for x in taken]
+    positions = F.filter(F.array(*(F.when(y, due(c + k * F.col("source_size"))) for k, y in zip(passes, whole, strict=True))), lambda x: x.isNotNull())
+    out = placed.select("doc_id", "source", "size", "source_size", "target", sum(taken[1:], taken[0]).cast("long").alias("taken"), positions.alias("positions"), due(c).alias("position"))
     return out.orderBy("position", "doc_id", "source", "size")

@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from textmill.llm.ann import nearest
 from textmill.llm.bpe import encode_decode
 from textmill.llm.html_text import extract_main_text
 from textmill.llm.licenses import scan_licenses
 from textmill.llm.mixing import mix_sources
+from textmill.llm.ngram_join import ngram_join
+from textmill.llm.quality_classifier import classify_quality
 from textmill.llm.quality_rules import quality_rules
 from textmill.llm.token_files import token_files
+from textmill.llm.toxicity import score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +27,22 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_file=public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=50, top=5)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_kept_words")
 
@@ -45,6 +65,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_ngram_join": op2_ngram_join,
+    "op3_toxicity": op3_toxicity,
+    "op5_ann": op5_ann,
+    "op6_quality_classifier": op6_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
     "op7_mixing": op7_mixing,
     "op8_bpe": op8_bpe,
