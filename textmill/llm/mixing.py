@@ -49,11 +49,11 @@ def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
     per_source = per_source.withColumn("__buckets", F.ceil(F.col("__n") / BUCKET_DOCS).cast("int")).drop("__n", "__at", "__count").withColumn("__key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
     per_source = stored(per_source, "mix-sources")
     keyed = rows.withColumn("__key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))).drop("source")
-    keyed = keyed.join(per_source, "__key").withColumn("__h", F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
-    keyed = keyed.withColumn("__b", F.floor((F.shiftright("__h", 32) / F.lit(float(2**31))) * F.col("__buckets")).cast("int"))
+    keyed = keyed.join(per_source, "__key").withColumn("__h", F.md5(F.col("doc_id").cast("string").cast("binary")))
+    keyed = keyed.withColumn("__b", F.floor((F.coalesce(F.conv(F.substring("__h", 1, 8), 16, 10).cast("long"), F.lit(0)) / F.lit(float(2**32))) * F.col("__buckets")).cast("int"))
     bucket = keyed.groupBy("__key", "__b").agg(F.sum("size").alias("__sum"))
     bucket = bucket.withColumn("__before", F.coalesce(F.sum("__sum").over(Window.partitionBy("__key").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__sum")
-    inside = Window.partitionBy("__key", "__b").orderBy("__h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__key", "__b").orderBy(F.col("__h").asc_nulls_first(), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("__c", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(bucket, ["__key", "__b"])
     c, size, goal = F.col("__before") + F.col("__c"), F.col("size"), F.floor(F.col("target")).cast("long")
     passes = range(int(repeat) + (repeat % 1 > 0))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textmill.llm.ann import nearest
 from textmill.llm.bpe import encode_decode
@@ -14,7 +15,7 @@ from textmill.llm.licenses import scan_licenses
 from textmill.llm.mixing import mix_sources
 from textmill.llm.ngram_join import ngram_join
 from textmill.llm.quality_classifier import classify_quality
-from textmill.llm.quality_rules import quality_rules
+from textmill.llm.quality_rules import BOILERPLATE, quality_rules
 from textmill.llm.token_files import token_files
 from textmill.llm.toxicity import score_toxicity
 
@@ -48,7 +49,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents"))
+    out = mix_sources(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +77,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_html_text": op10_html_text,
 }
-ORACLE_SQL: dict[str, str] = {}
+_SPACE = r"[\x20\x09-\x0D]+"
+_COUNT = "(length(l) - length(translate(l, '{}', '')))"
+ORACLE_SQL: dict[str, str] = {
+    "op4_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, [l for l in string_split(t, chr(10)) if regexp_matches(l, '[^\x20\x09-\x0D]')] AS ls FROM d),
+g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: {{'i': i, 'g': w[i] || chr(31) || w[i + 1] || chr(31) || w[i + 2]}})) AS x FROM w WHERE len(w) > 3),
+r AS (SELECT doc_id, count(DISTINCT p) AS k FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT doc_id, x.i AS i, count(*) OVER (PARTITION BY doc_id, x.g) AS c FROM g) WHERE c > 1) GROUP BY 1),
+l AS (SELECT doc_id, x.l AS l, x.i AS i FROM (SELECT doc_id, unnest(list_transform(ls, lambda l, i: {{'l': l, 'i': i}})) AS x FROM w)),
+m AS (SELECT *, len(string_split_regex(trim(l, ' '), '{_SPACE}')) AS n, length(l) AS chars, length(l) - length(regexp_replace(l, '\p{{L}}+', '', 'g')) AS letters, length(l) - length(regexp_replace(l, '\p{{Lu}}+', '', 'g')) AS upper, {_COUNT.format("|»›•·")} AS nav, {_COUNT.format("!")} AS marks, {_COUNT.format("#*$%&|<>{}~^=+@\\")} AS symbols FROM l),
+k AS (SELECT doc_id, string_agg(l, chr(10) ORDER BY i) AS clean FROM m WHERE NOT ((nav >= 3 AND nav * 4 >= n) OR (marks * 4 >= n AND marks >= 3) OR (letters >= 40 AND upper * 10 >= letters * 8) OR symbols * 10 > chars OR (chars >= 20 AND letters * 2 < chars) OR (n <= 12 AND regexp_matches(lower(l), '{"|".join(BOILERPLATE)}'))) GROUP BY 1),
+o AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{_SPACE}', '', 'g'))::BIGINT AS word_chars, (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.k, 0)::BIGINT AS n_repeat_words, (CASE WHEN coalesce(clean, '') = '' THEN 0 ELSE len(string_split_regex(trim(clean, ' '), '{_SPACE}')) END)::BIGINT AS n_kept_words FROM w LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (n_words - n_kept_words) <= 0.4 * n_words AS kept FROM o""",
+    "op7_mixing": r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(doc_id::VARCHAR) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k, count(*) OVER () AS c FROM d GROUP BY 1), w AS (SELECT *, [3, 1, 2][k % 3 + 1]::DOUBLE AS weight FROM s), r AS (SELECT *, source_size * 2.0::DOUBLE / weight AS r FROM w),
+l AS (SELECT *, (sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE - 2.0::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY r, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE) / sum(weight) OVER (ORDER BY r, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v FROM r),
+t AS (SELECT source, source_size, least(source_size * 2.0::DOUBLE, max(v) OVER () * weight) AS target, CASE WHEN c > 1 THEN 0.5::DOUBLE * (1 - 2 * k / (c - 1)) ELSE 0 END AS a FROM l),
+p AS (SELECT doc_id, d.source, size, source_size, target, a, (sum(size) OVER (PARTITION BY d.source ORDER BY h NULLS FIRST, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS x FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target, (greatest(0, least(size, floor(target)::BIGINT - x)) + greatest(0, least(size, floor(target)::BIGINT - x - source_size)))::BIGINT AS taken,
+CASE WHEN target <= 0 THEN 1 ELSE round(2 * least(1, x / target) / ((1 + a) + sqrt(greatest(0, (1 + a) * (1 + a) - 4 * a * least(1, x / target)))), 9) END AS position FROM p""",
+}
