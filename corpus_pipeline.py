@@ -23,7 +23,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on its own input, scores 0.5 or more."""
+    """Documents that the quality classifier, fitted on its own input, scores 0.3 or more: what is not clearly bad stays."""
     return keep_good(docs)
 
 

@@ -17,6 +17,8 @@ from textmill.llm.label_model import LabelModel, fit_linear
 BINS = 1 << 14
 #: Documents that the scorer is fitted on, at most.
 MAX_FIT = 6_000
+#: Shorter texts carry no evidence: no labeller votes on them, and they are scored 0.5.
+LEAST_WORDS = 5
 UPPER = bytes(range(65, 91))
 LETTERS = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
 SYMBOLS = b"#*$%&<>{}~^=+@\\"
@@ -41,14 +43,12 @@ def measure(text: str) -> list[float]:
 
 
 def vote(m: list[float]) -> list[int]:
-    """One vote for each of LABELLERS: 1 good, 0 bad, -1 abstains. Short texts give little evidence."""
+    """One vote for each of LABELLERS: 1 good, 0 bad, -1 abstains."""
     n, upper, marks, pipes, symbols, pairs, kinds, letters, length, stops, commas = m
-    if n < 5:
-        return [-1] * 9 + [0]
     pick = lambda bad, good: 0 if bad else 1 if good else -1
     return [
         pick(upper > 0.5, upper < 0.15), pick(marks > 0.2, marks < 0.05), pick(pipes > 0.15, pipes == 0), pick(symbols > 0.05, symbols < 0.01), pick(pairs < 0.6, pairs > 0.85),
-        pick(kinds < 0.25, kinds > 0.6), pick(letters < 0.75, letters > 0.9), pick(length > 15 or length < 2.5, 3 <= length <= 10), pick(pipes + symbols * 10 + marks > 0.4, commas > 0.02 and marks < 0.1), pick(stops < 0.005 and n > 60, stops > 0.02),
+        pick(kinds < 0.25, kinds > 0.6), pick(letters < 0.6, letters > 0.9), pick(length > 15 or length < 2.5, 3 <= length <= 10), pick(pipes + symbols * 10 + marks > 0.4, commas > 0.02 and marks < 0.1), pick(stops < 0.005 and n > 60, stops > 0.02),
     ]
 
 
@@ -92,7 +92,8 @@ def fit(docs: DataFrame, *, max_fit: int = MAX_FIT) -> tuple[np.ndarray, float,
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [",".join(map(str, vote(measure(t or "")))) for t in b.column(0).to_pylist()]
+            measures = [m for t in b.column(0).to_pylist() if (m := measure(t or ""))[0] >= LEAST_WORDS]
+            out = [",".join(map(str, vote(m))) for m in measures]
             once, n = np.unique(np.array(out, object).astype(str), return_counts=True) if out else ([], [])
             yield pa.RecordBatch.from_arrays([pa.array(list(once), pa.string()), pa.array(list(map(int, n)), pa.int64())], ["pattern", "n"])
 
@@ -110,6 +111,7 @@ def fit(docs: DataFrame, *, max_fit: int = MAX_FIT) -> tuple[np.ndarray, float,
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(pa.array([len((t or "").split()) >= LEAST_WORDS for t in b.column(1).to_pylist()], pa.bool_()))
             ms = [measure(t or "") for t in b.column(1).to_pylist()]
             found = [features(t or "", m) for t, m in zip(b.column(1).to_pylist(), ms, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([vote(m) for m in ms], pa.list_(pa.int32())), pa.array([a.astype("<i4").tobytes() for a, _ in found], pa.binary()), pa.array([v.tobytes() for _, v in found], pa.binary())], ["doc_id", "votes", "at", "value"])
@@ -132,12 +134,16 @@ class Scorer:
         s = np.zeros(len(texts))
         for i, t in enumerate(texts):
             if t and not t.isspace():
-                at, v = features(t, measure(t))
+                m = measure(t)
+                if m[0] < LEAST_WORDS:
+                    s[i] = 0.5
+                    continue
+                at, v = features(t, m)
                 s[i] = 1 / (1 + np.exp(-np.clip(self.bias + self.weights[at] @ v, -30, 30)))
         return s
 
 
-def keep_good(docs: DataFrame, *, threshold: float = 0.5, max_fit: int = MAX_FIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def keep_good(docs: DataFrame, *, threshold: float = 0.3, max_fit: int = MAX_FIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of docs, with all their columns, whose score reaches the threshold; the scorer is that of classify_quality."""
     prepare(docs.sparkSession)
     w, bias, _ = fit(docs.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"cast(`{text}` as string) as text"), max_fit=max_fit)
@@ -151,10 +157,10 @@ def keep_good(docs: DataFrame, *, threshold: float = 0.5, max_fit: int = MAX_FIT
     return docs.mapInArrow(run, docs.schema)
 
 
-def classify_quality(docs: DataFrame, *, threshold: float = 0.5, max_fit: int = MAX_FIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def classify_quality(docs: DataFrame, *, threshold: float = 0.3, max_fit: int = MAX_FIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row a document: doc_id, score (0 to 1, higher: better), kept (score >= threshold).
 
-    Scores depend on the text alone; null and empty texts are scored 0. Texts go through whole; repeated rows agree; an empty table gives none; a null doc_id is scored like any other and never fitted on.
+    Scores depend on the text alone; null and blank texts are scored 0, texts of one to four words 0.5. Texts go through whole; repeated rows agree; an empty table gives none; a null doc_id is scored like any other and never fitted on.
     """
     prepare(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"cast(`{text}` as string) as text")
