@@ -29,7 +29,7 @@ def merge(new: DataFrame, old: DataFrame, key: str, *, exclude: Sequence[str] =
         gone = gone.join(preserve.select(key).distinct(), key, "left_semi")
     if public:
         gone = gone.withColumn(public, F.lit(False))
-    return out.unionByName(gone.select(*(c for c in gone.columns if c in order)), allowMissingColumns=True)
+    return out.unionByName(gone.select(*(c for c in gone.columns if c in order or c == public)), allowMissingColumns=True)
 
 
 def changed_sources(new: DataFrame, old: DataFrame, key: str, sources: Sequence[str]) -> DataFrame:
