@@ -11,8 +11,9 @@ class LabelModel:
     Each voter has a table of vote probabilities for either class. Voters are not taken as independent: after every round the correlation of each two voters within a class is estimated from the expected counts, and a voter's evidence is divided by one plus its correlations with those that vote alike, so that ten copies of a voter count about as one. Fitting needs only the distinct vote patterns and their counts, whose number does not grow with the rows.
     """
 
-    def __init__(self, n_voters: int, prior: float = 0.5, smoothing: float = 1.0):
-        self.n, self.smoothing = n_voters, smoothing
+    def __init__(self, n_voters: int, prior: float = 0.5, smoothing: float = 1.0, floor: float = 0.5):
+        """floor: correlation within a class that is not yet taken for a shared mistake. 0 suits voters that look at one thing in several ways and classes that lie far apart."""
+        self.n, self.smoothing, self.floor = n_voters, smoothing, floor
         self.prior = prior
         self.tables = np.zeros((n_voters, 2, 3))
         self.correlations = np.eye(n_voters)
@@ -46,6 +47,14 @@ class LabelModel:
             cov = (centred * w[:, None]).T @ centred
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             shared += np.clip(cov / np.outer(sd, sd), 0, 1) / 2
+        # voters that all but repeat each other are one voter, whatever the classes: the classes may have been made after them
+        every = mass.sum(1) / mass.sum()
+        centred = value - every @ value
+        cov = (centred * every[:, None]).T @ centred
+        sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+        raw = cov / np.outer(sd, sd)
+        shared = np.where(raw > 0.95, np.maximum(shared, raw), shared)
+        shared = np.clip((shared - self.floor) / (1 - self.floor), 0, 1)
         np.fill_diagonal(shared, 1)
         self.correlations = shared
 

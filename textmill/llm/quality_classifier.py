@@ -103,7 +103,7 @@ def fit(docs: DataFrame, *, max_fit: int = MAX_FIT) -> tuple[np.ndarray, float,
     seen = sorted((r.pattern, r.n) for r in seen)
     patterns, counts = np.array([[int(x) for x in p.split(",")] for p, _ in seen]), np.array([n for _, n in seen])
     good, bad = (patterns == 1).sum(1), (patterns == 0).sum(1)
-    model = LabelModel(len(LABELLERS), smoothing=2.0).fit(patterns, counts, start=(good + 0.5) / (good + 4 * bad + 1))
+    model = LabelModel(len(LABELLERS), smoothing=2.0, floor=0.0).fit(patterns, counts, start=(good + 0.5) / (good + 4 * bad + 1))
     if model.accuracies().mean() < 0.5:  # classes changed places
         model.tables, model.prior = model.tables[:, ::-1], 1 - model.prior
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit)

@@ -115,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = MAX_LABELLED,
     v = np.array([r[2] for r in got])
     patterns, where, counts = np.unique(v, axis=0, return_inverse=True, return_counts=True)
     known = np.bincount(where.ravel(), y, len(patterns)) / counts
-    model = LabelModel(len(VOTERS)).fit(patterns, counts, start=np.where((patterns == 1).sum(1) > 0, 0.9, 0.1), anchor=known, pull=0.5)
+    model = LabelModel(len(VOTERS), floor=0.0).fit(patterns, counts, start=np.where((patterns == 1).sum(1) > 0, 0.9, 0.1), anchor=known, pull=0.5)
     soft = model.posterior(patterns)[where.ravel()]
     soft = 0.5 * soft + 0.5 * y  # training rows have labels of their own, which correct the voters
     rows_ = [(np.frombuffer(r[3], "<i4").astype(np.int64), np.minimum(np.frombuffer(r[4], "<i4"), 3).astype(float)) for r in got]
