@@ -28,6 +28,15 @@ TILE = 1_500
 FRAGMENTS = 4
 
 
+#: A stored table of at most so many short rows (some 10 MB) may be broadcast; larger ones are joined by shuffles.
+BROADCAST_ROWS = 150_000
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """The table with a broadcast hint if its counted rows are few. Its rows are ids and numbers, or a key of 40 characters."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         y = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -285,14 +294,14 @@ def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "t
     live = sets.where(F.col("ngrams").isNotNull())
     keys = live.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
     keys = stored(keys, "ngram-classes")
-    classes = live.join(keys.select(F.col("class_id").alias("doc_id"), "copies"), "doc_id").select("doc_id", "n", "n_shared", "ngrams", "copies")
-    prefixes = prefix_ngrams(classes, percent)
-    prefixes = stored(prefixes, "ngram-prefixes")
+    prefixes = stored(prefix_ngrams(live, percent), "ngram-prefixes")
     first = prefixes.groupBy("ngram").agg(F.min("doc_id").alias("b"), F.count("*").alias("k")).where("k > 1")
     blocks = connected_components(prefixes.join(first, "ngram").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"))
-    blocks = stored(blocks.withColumnsRenamed({"node": "doc_id", "component": "block"}), "ngram-blocks")
-    chunks = blocks.groupBy("block").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
-    placed = classes.join(blocks, "doc_id").join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+    # only one document of each class is compared; blocks of one class have no pairs
+    blocks = stored(blocks.withColumnsRenamed({"node": "doc_id", "component": "block"}).join(keys.select(F.col("class_id").alias("doc_id"), "copies"), "doc_id"), "ngram-blocks")
+    chunks = blocks.groupBy("block").agg(F.count("*").alias("k")).where("k > 1").select("block", F.ceil(F.col("k") / TILE).cast("int").alias("chunks"))
+    places = stored(blocks.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")), "ngram-places")
+    placed = live.select("doc_id", "n", "ngrams").join(broadcast_if_small(places), "doc_id")
     # a class of chunk c stands left in tiles (c, j) with j > c, right in (i, c) with i < c, and on both sides in (c, c)
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     tiles = placed.select("block", "doc_id", "n", "copies", "ngrams", "chunk", "chunks", other).select(
@@ -305,8 +314,8 @@ def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "t
     if links.where("tiles > 1").limit(1).count():  # blocks of several tiles are joined up
         joined = connected_components(found.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
         links = links.join(joined.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").select("doc_id", "links", F.coalesce("component", "doc_id").alias("root"))
-    per_class = keys.join(links.select(F.col("doc_id").alias("class_id"), "links", "root"), "class_id", "left")
-    out = sets.select("doc_id", "n", "class_key").join(per_class, "class_key", "left").select(
+    per_class = stored(keys.join(links.select(F.col("doc_id").alias("class_id"), "links", "root"), "class_id", "left"), "ngram-results")
+    out = sets.select("doc_id", "n", "class_key").join(broadcast_if_small(per_class), "class_key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "class_id", "doc_id").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"), F.coalesce("class_id", "doc_id").alias("class_id"),
     )
