@@ -48,21 +48,22 @@ def as_matrix(raw: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(raw), np.float16).reshape(len(raw), -1).astype(np.float32)
 
 
-def best(ids: np.ndarray, sims: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest of ids, each once, without own; ties to the smaller id."""
-    order = np.lexsort((ids, -sims))
-    ids, sims = ids[order], sims[order]
-    _, first = np.unique(ids, return_index=True)
-    first.sort()
-    first = first[ids[first] != own][:k]
-    return ids[first], sims[first]
+def flat(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, owner, id, sim) of packed lists."""
+    n = np.array([len(x) // 8 for x in pdf.ids], np.int64)
+    return np.repeat(np.arange(len(pdf)), n), np.repeat(pdf.id.to_numpy(np.int64), n), np.frombuffer(b"".join(pdf.ids), "<i8"), np.frombuffer(b"".join(pdf.sims), "<f4")
+
+
+def runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
+    at = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])) if len(sorted_keys) else np.empty(0, np.int64)
+    return list(zip(at.tolist(), [*at[1:].tolist(), len(sorted_keys)], strict=True))
 
 
 def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: int = 3, seed: int = 11) -> DataFrame:
     """nodes: id, v (16-bit unit vector). (id, ids, sims): about the k nearest of each node, nearest first, packed."""
     spark = nodes.sparkSession
     count = nodes.count()
-    buckets = max(1, min(input_partitions(spark), count // 200 + 1), count // 20_000 + 1)
+    buckets = max(1, min(input_partitions(spark), count // 200 + 1), count // 5_000 + 1)
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).alias("bucket")
     sample = nodes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("v").toPandas() if count else pd.DataFrame({"v": []})
     levels = max(0, int(np.ceil(np.log2(max(1, count) / (CELL * 0.7)))))
@@ -97,18 +98,22 @@ def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: in
     found = placed.groupBy(F.pmod(F.xxhash64("tree", "cell", "part"), F.lit(buckets)).alias("bucket")).applyInPandas(compare, packed)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The k nearest of all lists of a node, each id once, ties to the smaller id; fresh: not in the list of kind 0."""
+        row, owner, ids, sims = flat(pdf)
+        known = pdf.kind.to_numpy()[row] == 0
+        order = np.lexsort((~known, ids, owner))  # a known entry stands before its repeats
+        owner, ids, sims, known = owner[order], ids[order], sims[order], known[order]
+        first = np.concatenate([[True], (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1])]) if len(owner) else np.empty(0, bool)
+        first &= owner != ids
+        owner, ids, sims, known = owner[first], ids[first], sims[first], known[first]
+        order = np.lexsort((ids, -sims, owner))
+        owner, ids, sims, known = owner[order], ids[order], sims[order], known[order]
         out = []
-        for own, part in pdf.groupby("id", sort=False):
-            ids, sims = np.frombuffer(b"".join(part.ids), "<i8"), np.frombuffer(b"".join(part.sims), "<f4")
-            ids, sims = best(ids, sims, k, own)
-            out.append((own, ids.tobytes(), sims.tobytes(), *_old(part, ids)))
+        for at, end in runs(owner):
+            end = min(end, at + k)
+            out.append((owner[at], ids[at:end].tobytes(), sims[at:end].tobytes(), (~known[at:end]).astype("u1").tobytes()))
         return pd.DataFrame(out, columns=["id", "ids", "sims", "fresh"])
 
-    def _old(part: pd.DataFrame, ids: np.ndarray) -> tuple[bytes]:
-        known = part.ids[part.kind == 0]
-        before = np.frombuffer(known.iloc[0], "<i8") if len(known) else np.empty(0, np.int64)
-        return ((~np.isin(ids, before)).astype("u1").tobytes(),)
-
     full = packed + ", fresh binary"
     graph = stored(found.withColumn("kind", F.lit(1)).groupBy(bucket("id")).applyInPandas(merge, full), "ann-graph")
     every = nodes.select("id").join(graph.select("id"), "id", "left_anti") if count <= 1 else None
@@ -128,11 +133,13 @@ def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: in
 
         def local(pdf: pd.DataFrame) -> pd.DataFrame:
             out = []
-            for _, own in pdf.groupby("u", sort=False):
-                fresh = own.fresh.to_numpy() > 0
-                if not fresh.any() or len(own) < 2:
+            pdf = pdf.sort_values("u")
+            every, names, new = as_matrix(pdf.v), pdf.w.to_numpy(np.int64), pdf.fresh.to_numpy() > 0
+            for at, end in runs(pdf.u.to_numpy()):
+                fresh = new[at:end]
+                if not fresh.any() or end - at < 2:
                     continue
-                m, ids = as_matrix(own.v), own.w.to_numpy()
+                m, ids = every[at:end], names[at:end]
                 sims = m @ m.T
                 sims[~(fresh[:, None] | fresh[None, :])] = -9
                 np.fill_diagonal(sims, -9)
