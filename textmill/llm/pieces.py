@@ -26,20 +26,26 @@ def cut(text: str) -> list[str]:
 
 
 class PieceMemo:
-    """ids of pieces as little-endian bytes; encode gets a list of new distinct pieces and returns their ids. Cleared when it holds too much, so its memory is bounded whatever the texts."""
+    """ids of pieces as little-endian bytes; encode gets a list of new distinct pieces and returns their ids. Kept in two generations: when the young one is full it becomes the old one, from which pieces that come again move on, so the memory is bounded and frequent pieces stay."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = 500_000, longest: int = 64):
-        self.encode, self.entries, self.longest, self.known = encode, entries, longest, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], entries: int = 700_000, longest: int = 64):
+        self.encode, self.entries, self.longest, self.known, self.old = encode, entries, longest, {}, {}
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         if len(self.known) > self.entries:
-            self.known = {}
-        parts, known = [cut(t) for t in texts], self.known
+            self.known, self.old = {}, self.known
+        parts, known, old = [cut(t) for t in texts], self.known, self.old
         new: set[str] = set()
         for p in parts:
             new.update(p)
-        once = [x for x in new if x not in known]
+        once = []
+        for x in new.difference(known):
+            ids = old.get(x)
+            if ids is None:
+                once.append(x)
+            else:
+                known[x] = ids
         extra: dict[str, bytes] = {}
         for x, ids in zip(once, self.encode(once), strict=True):
             (known if len(x) <= self.longest else extra)[x] = ids
