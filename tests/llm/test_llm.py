@@ -348,6 +348,23 @@ def test_ann(spark):
     assert sorted(r["rank"] for r in few) == [1, 2]
 
 
+def test_ann_tells_near_copies_apart(spark):
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.standard_normal(64) + 0.01 * rng.standard_normal((2000, 64)), rng.standard_normal((200, 64))]).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.nearest(df, every=50).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    u = v.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hits = []
+    for q in range(0, 2000, 50):
+        near = u @ u[q]
+        near[q] = -9
+        hits.append(len(set(np.argsort(-near)[:5].tolist()) & got[q]) / 5)
+    assert np.mean(hits) >= 0.9
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by cosine: NN-descent builds a neighbour graph through iterative joins of neighbours of neighbours, and queries walk it greedily.
 
-Equal vectors are one node of the graph. Its first edges come from a few random partitions of the space, fitted on a bounded sample, in whose cells all pairs are compared; cells of more than CELL nodes are split. Each round of NN-descent then brings the vectors of every node's neighbours, forward and reverse, together and compares them with each other. Queries start from their own node's neighbours and expand the best nodes of their beam round by round. Graph and search use 16-bit vectors; results are ranked again by exact cosines of the original ones.
+Equal vectors are one node of the graph. Its first edges come from a few random partitions of the space, fitted on a bounded sample, in whose cells all pairs are compared; cells of more than CELL nodes are split. Each round of NN-descent then brings the vectors of every node's neighbours, forward and reverse, together and compares them with each other. Queries start from their own node's neighbours and expand the best nodes of their beam round by round. Graph and search compare squared distances of 32-bit unit vectors, which tell near copies apart where cosines round to one; the whole beam is ranked again by exact cosines of the original vectors.
 """
 
 from __future__ import annotations
@@ -45,7 +45,16 @@ def cells(vectors: np.ndarray, tree: list[tuple[np.ndarray, np.ndarray]]) -> np.
 
 
 def as_matrix(raw: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), np.float16).reshape(len(raw), -1).astype(np.float32)
+    return np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1)
+
+
+def closeness(m: np.ndarray) -> np.ndarray:
+    """Minus the squared distances of all pairs of rows, -9 on the diagonal."""
+    m = m.astype(np.float64)
+    own = (m * m).sum(1)
+    out = 2 * (m @ m.T) - own[:, None] - own[None, :]
+    np.fill_diagonal(out, -9)
+    return out
 
 
 def flat(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -60,7 +69,7 @@ def runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
 
 
 def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: int = 3, seed: int = 11) -> DataFrame:
-    """nodes: id, v (16-bit unit vector). (id, ids, sims): about the k nearest of each node, nearest first, packed."""
+    """nodes: id, v (32-bit unit vector). (id, ids, sims): about the k nearest of each node and minus their squared distances, nearest first, packed."""
     spark = nodes.sparkSession
     count = nodes.count()
     buckets = max(1, min(input_partitions(spark), count // 200 + 1), count // 5_000 + 1)
@@ -86,8 +95,7 @@ def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: in
             m, ids = as_matrix(own.v), own.id.to_numpy()
             if len(ids) < 2:
                 continue
-            sims = m @ m.T
-            np.fill_diagonal(sims, -9)
+            sims = closeness(m)
             n = min(k, len(ids) - 1)
             top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
             for i, at in enumerate(top):
@@ -140,14 +148,13 @@ def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: in
                 if not fresh.any() or end - at < 2:
                     continue
                 m, ids = every[at:end], names[at:end]
-                sims = m @ m.T
+                sims = closeness(m)
                 sims[~(fresh[:, None] | fresh[None, :])] = -9
-                np.fill_diagonal(sims, -9)
                 n = min(6, len(ids) - 1)
                 top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
                 value = np.take_along_axis(sims, top, 1)
                 for i in range(len(ids)):
-                    live = value[i] > -2
+                    live = value[i] > -5
                     if live.any():
                         out.append((ids[i], ids[top[i][live]].astype("<i8").tobytes(), value[i][live].astype("<f4").tobytes()))
             return pd.DataFrame(out, columns=["id", "ids", "sims"])
@@ -209,7 +216,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int
                     unseen = ~np.isin(cand, ids)
                     cand = cand[unseen]
                     if len(cand):
-                        s = as_matrix(part.v[unseen]) @ np.frombuffer(row.v, np.float16).astype(np.float32)
+                        s = -((as_matrix(part.v[unseen]) - np.frombuffer(row.v, np.float32)) ** 2).sum(1)
                         ids, sims, done = np.concatenate([ids, cand]), np.concatenate([sims, s]), np.concatenate([done, np.zeros(len(cand), "u1")])
                         order = np.lexsort((ids, -sims))[:beam]
                         ids, sims, done = ids[order], sims[order], done[order]
@@ -250,7 +257,7 @@ def nearest(vectors: DataFrame, *, every: int = 50, top: int = 5, k: int = 24, t
         for pdf in batches:
             m = np.array(pdf.e.tolist(), np.float64) if len(pdf) else np.empty((0, 1))
             m = m / np.maximum(np.abs(m).max(1, keepdims=True), 1e-300) if len(m) else m
-            m = (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(np.float16) if len(m) else m
+            m = (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(np.float32) if len(m) else m
             yield pd.DataFrame({"id": pdf.id, "v": [x.tobytes() for x in m]})
 
     nodes = stored(firsts.mapInPandas(unit, "id long, v binary"), "ann-nodes")
@@ -260,9 +267,8 @@ def nearest(vectors: DataFrame, *, every: int = 50, top: int = 5, k: int = 24, t
     beams = search(graph, nodes, asked.select("id"), beam=beam)
 
     def unpack(batches):
-        keep = 3 * top
         for pdf in batches:
-            ids = [np.concatenate([[own], np.frombuffer(x, "<i8")[:keep]]) for own, x in zip(pdf.id, pdf.ids, strict=True)]
+            ids = [np.concatenate([[own], np.frombuffer(x, "<i8")]) for own, x in zip(pdf.id, pdf.ids, strict=True)]
             n = [len(x) for x in ids]
             yield pd.DataFrame({"id": np.repeat(pdf.id.to_numpy(), n), "node": np.concatenate(ids) if ids else np.empty(0, np.int64)})
 
