@@ -265,6 +265,17 @@ def test_html_without_article():
     assert html_text.extract(page).split("\n") == [body.strip(), "Short one.", (body * 2).strip()]
 
 
+def test_html_labels_decide_inside_and_outside_an_article():
+    story = "The story of the town is told here, and it was the one that all of them had heard of before the war was over and done. " * 2
+    page = f"<body><article><h2>Teaser</h2><p>Read more</p></article><div>{story}</div><div>{story}</div></body>"
+    assert html_text.extract(page).split("\n").count(story.strip()) == 2
+    links = "<ul><li><a href=x>One more</a></li><li><a href=y>Another</a></li></ul>"
+    page = f"<body><article><p>{story}</p>{links}<p>More of it</p>{links}<p>{story}</p></article></body>"
+    assert html_text.extract(page).split("\n") == [story.strip(), story.strip()]
+    page = "<body><div><a href=x>One more</a></div><article><p>Krótki tekst.</p></article><div><a href=y>Another</a></div></body>"
+    assert html_text.extract(page) == "Krótki tekst."
+
+
 def test_html_tables(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     for r in pages.join(html_text.extract_main_text(pages).select("page_id", "text"), "page_id").collect():

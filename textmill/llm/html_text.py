@@ -130,7 +130,7 @@ def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
 
 
 def classify(found: list[tuple[str, int, bool, bool]], *, max_links: float = 0.33, short: int = 70, long: int = 200, low: float = 0.15, high: float = 0.3) -> list[bool]:
-    """Whether each block is main text. First pass: many links: bad; short: open; else by stop-word density and length good, nearly good or bad. Second pass: open and nearly good blocks take the label of the nearest decided block on either side, good if the two differ and the block is nearly good, or one of them is missing; blocks inside an article or main element count as nearly good at least, as their page says that they are text."""
+    """Whether each block is main text. First pass: many links: bad; short: open; else by stop-word density and length good, nearly good or bad. Second pass: open and nearly good blocks take the label of the nearest decided block on either side, good if the two differ and the block is nearly good, or one of them is missing. Being inside an article or main element is one feature: blocks there are nearly good instead of open or bad for want of stop words, links weigh less, and only decided blocks of the same stretch inside are their neighbours."""
     labels: list[str] = []
     for body, linked, heading, own in found:
         words = body.lower().split()
@@ -147,21 +147,22 @@ def classify(found: list[tuple[str, int, bool, bool]], *, max_links: float = 0.3
             label = "bad"
         labels.append(label)
     n = len(labels)
-    before, after, last = [""] * n, [""] * n, ""
-    for i in range(n):
-        before[i] = last
-        last = labels[i] if labels[i] in ("good", "bad") else last
-    last = ""
-    for i in reversed(range(n)):
-        after[i] = last
-        last = labels[i] if labels[i] in ("good", "bad") else last
+    sides: list[set[str]] = [set() for _ in labels]
+    for order in (range(n), range(n - 1, -1, -1)):
+        last = inner = ""
+        was = False
+        for i in order:
+            if found[i][3] != was:
+                was, inner = found[i][3], ""
+            sides[i] |= {inner if was else last} - {""}
+            if labels[i] in ("good", "bad"):
+                last = inner = labels[i]
     keep = []
     for i, label in enumerate(labels):
-        sides = {before[i], after[i]} - {""}
         if label == "near":
-            keep.append(found[i][3] or sides != {"bad"})
+            keep.append(sides[i] != {"bad"})
         elif label == "open":
-            keep.append(sides == {"good"})
+            keep.append(sides[i] == {"good"})
         else:
             keep.append(label == "good")
     return keep
@@ -169,8 +170,6 @@ def classify(found: list[tuple[str, int, bool, bool]], *, max_links: float = 0.3
 
 def extract(html: str | None) -> str:
     found = blocks(html or "")
-    if any(own for *_, own in found):
-        found = [b for b in found if b[3]]  # the page names its article
     return "\n".join(b[0] for b, keep in zip(found, classify(found), strict=True) if keep)
 
 
