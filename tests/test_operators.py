@@ -1,6 +1,7 @@
 """Operators against worked cases."""
 
 import json
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -18,6 +19,7 @@ from textmill.operators import privacy as pv
 from textmill.operators import sampling as sm
 from textmill.operators import similarity as si
 from textmill.operators import stats as st
+from textmill.operators import topics as tp
 
 
 def rows(df, *cols):
@@ -239,3 +241,13 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("exposed").agg(F.sum("n")).first()[0] == 30
+
+
+@pytest.mark.parametrize("size", [100, 20_001])
+def test_topic_words_keep_their_lift_in_large_vocabularies(spark, size):
+    words = [f"w{i}" for i in range(size)]
+    matrix = np.full((size, 2), 1e-3)
+    matrix[:2] = [[500.0, 1.0], [400.0, 1.0]]
+    bag, model = SimpleNamespace(vocabulary=words), SimpleNamespace(topicsMatrix=lambda: SimpleNamespace(toArray=lambda: matrix))
+    p = spark.createDataFrame([("w0", 0.5), ("w1", 0.001)], "token string, p double")
+    assert tp.topic_words(bag, model, p, top=1)[0] == ["w1"]  # rarer elsewhere, so more relevant
