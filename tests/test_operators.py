@@ -251,3 +251,18 @@ def test_topic_words_keep_their_lift_in_large_vocabularies(spark, size):
     bag, model = SimpleNamespace(vocabulary=words), SimpleNamespace(topicsMatrix=lambda: SimpleNamespace(toArray=lambda: matrix))
     p = spark.createDataFrame([("w0", 0.5), ("w1", 0.001)], "token string, p double")
     assert tp.topic_words(bag, model, p, top=1)[0] == ["w1"]  # rarer elsewhere, so more relevant
+
+
+def test_lda_topics_runs_the_whole_vocabulary(spark, monkeypatch):
+    from textmill.plans import corpus
+
+    asked = {}
+
+    def fit(df, tokens, k, **settings):
+        asked.update(settings, k=k)
+        raise InterruptedError
+
+    monkeypatch.setattr(corpus.tp, "fit_lda", fit)
+    with pytest.raises(InterruptedError):
+        corpus.lda_topics(spark, "/root/testdata/sf0.001")
+    assert asked.get("vocab", 100_000) >= 100_000 and asked.get("iterations", 20) >= 20 and asked["k"] == 30

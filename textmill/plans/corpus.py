@@ -156,7 +156,7 @@ def phrases(spark: SparkSession, sf: str) -> DataFrame:
 def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Rows only: the numbers of a topic model depend on its random numbers."""
     t = tokens(spark, sf)
-    bag, model = tp.fit_lda(t, "tokens", 6, min_df=10, max_df=0.4, vocab=5000, iterations=5)
+    bag, model = tp.fit_lda(t, "tokens", 30, min_df=10, max_df=0.4)
     theta = tp.infer(t, "tokens", "doc_id", bag, model)
     return theta.select("doc", F.transform(tp.top_topics(F.col("theta")), lambda x: x["topic"]).alias("topics"))
 
