@@ -4,6 +4,7 @@ import base64
 import hashlib
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -12,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from textmill.llm import ann, bpe, html_text, label_model, licenses, mixing, ngram_join, quality_classifier, quality_rules, token_files, toxicity
+from textmill.llm import ann, bpe, html_text, label_model, licenses, mixing, ngram_join, pieces, quality_classifier, quality_rules, token_files, toxicity
 from textmill.llm.common import shingle_hashes
 
 SF = "/root/testdata/sf0.001"
@@ -76,7 +77,42 @@ def test_bpe_merges_leftmost_lowest_pair():
                 break
             ids[best[1] : best[1] + 2] = [best[0]]
         if m.ranks.get(raw) is None:
-            assert np.frombuffer(m.encode_matches([raw])[0], "<u4").tolist() == ids
+            assert m.encode_matches([raw])[0].tolist() == ids
+            assert m.merge_long(raw).tolist() == ids  # the heap takes the same merges
+
+
+def test_bpe_of_very_long_matches():
+    m = bpe.bpe(BPE["ranks"], BPE["pattern"])
+    begin = time.monotonic()
+    for text in ("a" * 200_000, "abc" * 66_000, "é" * 50_000):
+        assert m.encode_matches([text.encode()])[0].tolist() == ids_of(text)
+    assert time.monotonic() - begin < 20
+
+
+def test_pieces_are_cut_between_matches():
+    """Every place at which texts are cut is a border of two matches of the pattern, also beside odd white space, marks and apostrophes."""
+    import regex
+
+    rng = np.random.default_rng(5)
+    alphabet = list("ab Z9.,'\"\n\t\r-é日’\x1c\x1f") + [" ", "  ", "\u00a0", "\u2003", "\u3000", "\u0085", "'s", "'ll", "🙂"]
+    for _ in range(3000):
+        text = "".join(rng.choice(alphabet, rng.integers(1, 14)))
+        raw = text.encode()
+        borders = {0}
+        for x in regex.findall(public_tokenizers.PATTERN, text):
+            borders.add(max(borders) + len(x.encode()))
+        assert set(pieces.cuts(np.frombuffer(raw, np.uint8)).tolist()) <= borders, repr(text)
+
+
+def test_memo_stays_bounded_and_right():
+    import pyarrow as pa
+
+    m = pieces.PieceMemo(lambda p: (np.frombuffer(b"".join(p), np.uint8).astype(np.uint32), np.array([len(x) for x in p])), most=3000)
+    for k in range(30):
+        texts = [f"w{k}x{i} same, words" * (i % 3) for i in range(20)] + [None, "", "x" * 500]
+        got = [bytes(ids[a:b].astype(np.uint8)).decode() for _, _, ids, ends in m.encode_column(pa.array(texts)) for a, b in zip([0, *ends[:-1]], ends)]
+        assert got == [t or "" for t in texts]
+        assert m.held < 30_000 and all(len(p) <= pieces.LONGEST for p in m.place)
 
 
 def test_token_files(spark, awkward, tmp_path):

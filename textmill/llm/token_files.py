@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.common import fresh, prepare
-from textmill.llm.pieces import PieceMemo
+from textmill.llm.pieces import PieceMemo, begins_white, ends_white, grouped
 
 #: Ids in a frame.
 FRAME = 65_536
@@ -33,60 +33,58 @@ CHUNK = 32_768
 
 
 class FileTokenizer:
-    """A tokenizer of the tokenizers library with a byte-level vocabulary, behind a memo of pieces."""
+    """A tokenizer of the tokenizers library with a byte-level vocabulary, behind a memo of pieces.
+
+    Strings of special tokens in a text are ordinary text, as the vocabulary files' own description has it.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = True
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.sizes[i] = len(token)  # the byte-level alphabet has one character a byte
         self.memo = PieceMemo(self.encode_pieces)
 
-    def one_by_one(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Pieces go through the library many at a time: where a piece begins with one space or a line feed is put before it, it is a match of the pattern apart from what stands before, and the tokens' sizes show where it ends."""
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces go through the library many at a time: where a piece begins with one space, or a line feed is put before it, it is a match of the pattern apart from what stands before, and the tokens' sizes show where it ends."""
         out: list = [None] * len(pieces)
-        chunks: list[tuple[list[int], list[str], list[int]]] = []
+        chunks: list[tuple[list[int], list[bytes]]] = []
         alone: list[int] = []
         room = 0
         for i, p in enumerate(pieces):
-            if not p or p[-1].isspace() or p[0].isspace() and (p[0] != " " or p[1].isspace()):
+            if ends_white(p) or (begins_white(p[1:]) if p[0] == 32 else begins_white(p)):
                 alone.append(i)
                 continue
             if room <= 0:
-                chunks.append(([], [], []))
+                chunks.append(([], []))
                 room = CHUNK
-            p = p if p[0] == " " else "\n" + p
+            p = p if p[0] == 32 else b"\n" + p
             chunks[-1][0].append(i)
             chunks[-1][1].append(p)
-            chunks[-1][2].append(len(p.encode("utf-8", "surrogatepass")))
             room -= len(p)
         for k in range(0, len(chunks), 64):
             some = chunks[k : k + 64]
-            for (at, parts, sizes), e in zip(some, self.tok.encode_batch_fast(["".join(c[1]) for c in some], add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, "<u4")
-                ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum(sizes)
+            joined = [b"".join(parts).decode("utf-8", "replace") for _, parts in some]
+            for (at, parts), e in zip(some, self.tok.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.uint32)
+                ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum([len(p) for p in parts])
                 cut = np.searchsorted(ends, wanted)
                 if len(ids) == 0 or cut[-1] >= len(ids) or (ends[cut] != wanted).any():
                     alone.extend(at)
                     continue
                 begin = 0
                 for i, p, stop in zip(at, parts, (cut + 1).tolist(), strict=True):
-                    out[i] = ids[begin + (p[0] == "\n") : stop].tobytes()
+                    out[i] = ids[begin + (p[0] == 10) : stop]
                     begin = stop
-        for i, ids in zip(alone, self.one_by_one([pieces[i] for i in alone]), strict=True):
-            out[i] = ids
-        return out
-
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        return self.memo.texts(texts)
+        whole = self.tok.encode_batch_fast([pieces[i].decode("utf-8", "replace") for i in alone], add_special_tokens=False)
+        for i, e in zip(alone, whole, strict=True):
+            out[i] = np.array(e.ids, np.uint32)
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
 
 
 @functools.cache
@@ -105,10 +103,12 @@ class FrameWriter:
         self.stream, self.codec = stream, zstandard.ZstdCompressor(level=level, write_checksum=True)
         self.buffer, self.table, self.docs, self.n = bytearray(), [], [], 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.docs.append((doc_id, self.n, len(ids) // 4))
-        self.n += len(ids) // 4
-        self.buffer += ids
+    def add(self, keys: list[int | None], ids: np.ndarray, ends: np.ndarray) -> None:
+        """The ids of some documents in a row; ends: where each document's end."""
+        sizes = np.diff(ends, prepend=0)
+        self.docs.extend(zip(keys, (ends - sizes + self.n).tolist(), sizes.tolist(), strict=True))
+        self.n += len(ids)
+        self.buffer += memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
         at, size = 0, 4 * FRAME
         while len(self.buffer) - at >= size:
             self._frame(bytes(memoryview(self.buffer)[at : at + size]))
@@ -201,9 +201,9 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer_file: str, end_
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, end = tokenizer(tokenizer_file), end_id.to_bytes(4, "little")
+        model = tokenizer(tokenizer_file)
         writer = stream = None
-        for b in batches:
+        for b in grouped(batches):
             if not b.num_rows:
                 continue
             if writer is None:
@@ -212,8 +212,9 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer_file: str, end_
                 place = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids.zst"
                 stream = system.open_output_stream(f"{top}/{place}", compression=None)
                 writer = FrameWriter(stream)
-            for d, ids in zip(b.column(0).to_pylist(), model.encode_texts(b.column(1).to_pylist()), strict=True):
-                writer.add(d, ids + end)
+            keys = b.column(0).to_pylist()
+            for first, stop, ids, ends in model.memo.encode_column(b.column(1)):
+                writer.add(keys[first:stop], np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1))
         if writer is not None:
             writer.close()
             stream.close()
