@@ -25,72 +25,106 @@ NOTICES = {
     "creative commons attribution": ("cc-by", 0.7), "creative commons zero": ("cc0", 0.9), "cc by sa": ("cc-by-sa", 0.8), "cc by nd": ("cc-by-nd", 0.8), "cc0 1 0": ("cc0", 0.9),
     "released into the public domain": ("public-domain", 0.8), "the unlicense": ("unlicense", 0.8), "all rights reserved": ("all-rights-reserved", 0.5),
 }
-#: Identifiers that an expression may name, in lower case, with their labels.
-IDENTIFIERS = {
-    "mit": "mit", "apache-2.0": "apache-2", "bsd-2-clause": "bsd-2", "bsd-3-clause": "bsd-3", "isc": "isc", "zlib": "zlib", "unlicense": "unlicense", "0bsd": "0bsd",
-    "gpl-2.0": "gpl-2", "gpl-2.0-only": "gpl-2", "gpl-2.0-or-later": "gpl-2", "gpl-3.0": "gpl-3", "gpl-3.0-only": "gpl-3", "gpl-3.0-or-later": "gpl-3",
-    "lgpl-2.1": "lgpl", "lgpl-2.1-only": "lgpl", "lgpl-2.1-or-later": "lgpl", "lgpl-3.0": "lgpl", "lgpl-3.0-only": "lgpl", "lgpl-3.0-or-later": "lgpl",
-    "agpl-3.0": "agpl", "agpl-3.0-only": "agpl", "agpl-3.0-or-later": "agpl", "mpl-2.0": "mpl", "epl-1.0": "epl", "epl-2.0": "epl", "bsl-1.0": "bsl-1",
-    "cc0-1.0": "cc0", "cc-by-3.0": "cc-by", "cc-by-4.0": "cc-by", "cc-by-sa-3.0": "cc-by-sa", "cc-by-sa-4.0": "cc-by-sa", "cc-by-nc-3.0": "cc-by-nc", "cc-by-nc-4.0": "cc-by-nc", "cc-by-nd-4.0": "cc-by-nd",
-}
-PERMISSIVE = {"mit", "apache-2", "bsd", "bsd-2", "bsd-3", "isc", "zlib", "unlicense", "0bsd", "bsl-1", "cc0", "cc-by", "public-domain"}
+#: Identifiers of the public licence list that allow use in any work under notice alone, in lower case.
+PERMISSIVE_IDS = frozenset(
+    "0bsd aal afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 apache-1.0 apache-1.1 apache-2.0 artistic-2.0 blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent "
+    "bsd-2-clause-views bsd-3-clause bsd-3-clause-attribution bsd-3-clause-clear bsd-3-clause-lbnl bsd-4-clause bsd-4-clause-uc bsd-source-code bsl-1.0 bzip2-1.0.6 "
+    "cc0-1.0 cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-pddc cecill-b curl ecl-1.0 ecl-2.0 efl-2.0 entessa fsfap ftl hpnd icu ijg imagemagick isc json "
+    "libpng libpng-2.0 libtiff miros mit mit-0 mit-advertising mit-cmu mit-feh mit-modern-variant mulanpsl-1.0 mulanpsl-2.0 naist-2003 ncsa nist-pd ntp odc-by-1.0 "
+    "oldap-2.8 openssl pddl-1.0 php-3.0 php-3.01 postgresql psf-2.0 python-2.0 ruby tcl unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 xnet zlib "
+    "zlib-acknowledgement zpl-2.0 zpl-2.1".split()
+)
+#: What stands for no licence at all.
+NO_LICENCE = frozenset(("none", "noassertion"))
+#: Labels of families, by how their identifiers begin; other identifiers are their own labels.
+FAMILIES = (
+    ("apache-2.0", "apache-2"), ("bsd-2-clause", "bsd-2"), ("bsd-3-clause", "bsd-3"), ("gpl-2.0", "gpl-2"), ("gpl-3.0", "gpl-3"), ("lgpl-", "lgpl"), ("agpl-", "agpl"),
+    ("mpl-2.0", "mpl"), ("epl-", "epl"), ("bsl-1.0", "bsl-1"), ("cc0-1.0", "cc0"), ("cc-by-nc-nd-", "cc-by-nc-nd"), ("cc-by-nc-sa-", "cc-by-nc-sa"), ("cc-by-nc-", "cc-by-nc"),
+    ("cc-by-nd-", "cc-by-nd"), ("cc-by-sa-", "cc-by-sa"), ("cc-by-", "cc-by"),
+)
+
+
+def label_of(identifier: str) -> str:
+    """The label of an identifier in lower case: its family's, or itself."""
+    return next((label for start, label in FAMILIES if identifier.startswith(start)), identifier)
+
+
+PERMISSIVE = frozenset(label_of(x) for x in PERMISSIVE_IDS) | {"bsd", "public-domain"}
 TAG = "spdx-license-identifier"
 EXPRESSION = re.compile(r"[ \t]*:?[ \t]*((?:[A-Za-z0-9.+:\-]+|[() \t])+)")
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:\-]+")
 RANK = {"or": 1, "and": 2, "with": 3}
 
 
+WELL_FORMED = re.compile(r"[a-z0-9][a-z0-9.\-]*(?::[a-z0-9][a-z0-9.\-]*)?\+?")
+
+
+def operand(token: str, before: str, after: str) -> str | None:
+    """The identifier that a token is, in lower case without the + of later versions; None if the token is no identifier. Identifiers that no list has count too: a plain word is one only where the grammar wants an operand on both sides of it, not in the prose that may follow a tag on its line."""
+    name = token.lower().rstrip(".:")
+    if not WELL_FORMED.fullmatch(name) or name in NO_LICENCE:
+        return None
+    bare = name.removesuffix("+")
+    if bare in PERMISSIVE_IDS or label_of(bare) != bare or re.search(r"[0-9\-]", bare):
+        return bare
+    prose = after and after not in "()" and after.lower() not in RANK or before.islower() and token.islower()
+    return None if prose else bare
+
+
 def parse_expression(text: str) -> tuple[tuple[str, ...], bool | None]:
-    """The labels of a licence expression, and whether its terms can be met by permissive licences alone (or: either side, and: both, with: the left side); (), None if it is malformed from the start.
+    """The labels of a licence expression, and whether its terms can be met by permissive licences alone (or: either side, and: both, with: the left side); (), None if it is malformed from the start. An identifier that is not known is a label of its own and not permissive.
 
     A shunting-yard: operands go to the output, operators wait on a stack until one of lower rank or a bracket comes. The longest well-formed beginning counts, as prose may follow a tag on its line.
     """
     out: list[tuple[frozenset, bool]] = []
     stack: list[str] = []
     best: tuple[tuple[str, ...], bool | None] = ((), None)
-    operand = False  # what came last
+    last = False  # whether an operand came last
+    before = ""
 
     def apply(values: list, op: str) -> None:
         b, a = values.pop(), values.pop()
-        values.append((a[0] | b[0], a[1] or b[1]) if op == "or" else (a[0] | b[0], a[1] and b[1]) if op == "and" else a)
+        if op == "or":
+            values.append((a[0] | b[0], a[1] or b[1]))
+        elif op == "and":
+            values.append((a[0] | b[0], a[1] and b[1]))
+        else:
+            values.append(a)
 
-    for tok in TOKEN.findall(text):
+    tokens = TOKEN.findall(text)
+    for tok, after in zip(tokens, [*tokens[1:], ""], strict=True):
         low = tok.lower()
         if tok == "(":
-            if operand:
+            if last:
                 break
             stack.append(tok)
         elif tok == ")":
-            if not operand or "(" not in stack:
+            if not last or "(" not in stack:
                 break
             while stack[-1] != "(":
                 apply(out, stack.pop())
             stack.pop()
         elif low in RANK:
-            if not operand:
+            if not last:
                 break
             while stack and stack[-1] != "(" and RANK[stack[-1]] >= RANK[low]:
                 apply(out, stack.pop())
             stack.append(low)
-            operand = False
-            continue
+            last = False
         else:
-            if operand:
+            if last:
                 break
-            name = low.rstrip(".:")
             if stack and stack[-1] == "with":
-                label = None
-            elif name in IDENTIFIERS:
-                label = IDENTIFIERS[name]
-            elif name.endswith("+") and name[:-1] in IDENTIFIERS:
-                label = IDENTIFIERS[name[:-1]]
-            elif name.startswith("licenseref-"):
-                label = name
+                out.append((frozenset(), True))
             else:
-                break
-            out.append((frozenset([label] if label else []), label in PERMISSIVE))
-            operand = True
-        if operand and "(" not in stack:
+                name = operand(tok, before, after)
+                if name is None:
+                    break
+                label = label_of(name)
+                out.append((frozenset([label]), label in PERMISSIVE))
+            last = True
+        before = tok if low in RANK else ""
+        if last and "(" not in stack:
             values = list(out)
             for op in reversed(stack):
                 apply(values, op)
@@ -158,7 +192,7 @@ def scan(text: str | None) -> tuple:
 def scan_licenses(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, expressions, permissive.
 
-    Null and empty texts have no words, empty label strings, score 0 and null places. Every text is scanned whole; overlapping phrases each count. Rows are judged alone: repeated rows give repeated results, an empty table none. permissive: null without labels.
+    Null and empty texts have no words, empty label strings, score 0 and null places. Every text is scanned whole, however long; overlapping phrases each count. Rows are judged alone: repeated rows and ids give repeated results, a null doc_id stays null, an empty table gives none; other columns of docs, whatever their names, are not read. permissive: null without labels, false where a label is not known.
     """
     prepare(docs.sparkSession)
 
