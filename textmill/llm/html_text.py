@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from textmill.llm.common import prepare
 
 #: Elements whose whole content is left out.
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas head nav header footer aside form button select textarea menu dialog title video audio".split())
+SKIPPED = frozenset("script style noscript template svg iframe object canvas head nav header footer aside form button select textarea menu dialog title video audio".split())
 #: Elements that never have an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that begin and end a block.
@@ -22,6 +22,11 @@ FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|side-bar|widget|related|recommend\w*|share|sharing|social|footer|header|masthead|topbar|toolbar|comments?|commentlist|respond|replies|disqus|copyright|legal|disclaimer|login|signup|search|tags?|skip-link|complementary|contentinfo)(?:$|[\s_-])",
     re.I,
 )
+#: The same inside an article: adverts, notices, menus, side parts, sign-ups and comments alone. Other names may be those of its own text.
+FURNITURE_INSIDE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe|subscription|paywall|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|side-bar|footer|comments?|commentlist|respond|replies|disqus)(?:$|[\s_-])",
+    re.I,
+)
 #: Elements that hold the page's own text; what furniture-like names they bear is ignored.
 OWN = frozenset("html body main article".split())
 STOP_WORDS = frozenset(
@@ -39,103 +44,126 @@ RAW = {x: re.compile(rf"</{x}\b[^>]*>", re.I) for x in ("script", "style", "text
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+#: Elements that end an open one of the same name, if it is the innermost block.
+SIBLINGS = frozenset("li td th tr dd dt option".split())
+
+
+class _Page:
+    """The open elements of a page while it is read; every step costs no more than the elements that it closes."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool]] = []  # open elements, and whether their content is left out
+        self.open: dict[str, int] = {}  # how many of each name are open
+        self.scopes: list[list] = [["", False]]  # open block elements but p, and whether a p is open right in them
+        self.skip = self.own = self.anchors = 0
+        self.out: list[tuple[str, int, bool, bool]] = []
+        self.parts: list[tuple[str, bool]] = []
+        self.heading = False
+
+    def push(self, name: str, hides: bool) -> None:
+        self.stack.append((name, hides))
+        self.open[name] = self.open.get(name, 0) + 1
+        if name == "p":
+            self.scopes[-1][1] = True
+        elif name in BLOCKS:
+            self.scopes.append([name, False])
+        self.skip += hides
+        self.own += name in ("article", "main")
+        self.anchors += name == "a"
+
+    def pop_to(self, name: str) -> None:
+        """Closes the innermost element of the name, and what was left open inside."""
+        while True:
+            x, hides = self.stack.pop()
+            self.open[x] -= 1
+            if x == "p":
+                self.scopes[-1][1] = False
+            elif x in BLOCKS:
+                self.scopes.pop()
+            self.skip -= hides
+            self.own -= x in ("article", "main")
+            self.anchors -= x == "a"
+            if x == name:
+                return
+
+    def text(self, piece: str) -> None:
+        if not self.skip:
+            self.parts.append((piece, self.anchors > 0))
+
+    def close_block(self) -> None:
+        if self.parts:
+            body = SPACE.sub(" ", unescape("".join(p for p, _ in self.parts))).strip()
+            if body:
+                linked = sum(len(SPACE.sub(" ", unescape(p)).strip()) for p, link in self.parts if link)
+                self.out.append((body, linked, self.heading, self.own > 0))
+            self.parts = []
+        self.heading = False
+
+    def end(self, name: str) -> None:
+        if not self.open.get(name):
+            if name == "p":
+                self.close_block()
+            return
+        if name in BLOCKS or name in SKIPPED:
+            self.close_block()
+        self.pop_to(name)
+
+    def start(self, name: str, attributes: str, empty: bool) -> None:
+        if name in BLOCKS or name in SKIPPED:
+            self.close_block()
+            if name == "p" and self.scopes[-1][1] or name in SIBLINGS and self.scopes[-1][0] == name:
+                self.pop_to(name)
+            self.heading = name in HEADING and not self.skip
+        if name == "br":
+            self.text(" ")
+        if name in VOID or empty:
+            return
+        hides = name in SKIPPED and not (name == "header" and self.own)  # an article's own header bears its title
+        if not hides and name not in OWN and name != "header" and attributes:
+            names = FURNITURE_INSIDE if self.own else FURNITURE
+            hides = any(names.search(a or b or c) for a, b, c in NAMED.findall(attributes)) or bool(HIDDEN.search(attributes))
+        self.push(name, hides)
+
+
 def blocks(html: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters in links, heading, inside article or main) of each block of a page, in order, without what is skipped."""
-    out: list[tuple[str, int, bool, bool]] = []
-    parts: list[str] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether their content is left out
-    skip = own = anchors = 0
-    linked, heading, at, n = 0, False, 0, len(html)
-
-    def close() -> None:
-        nonlocal linked, heading
-        if parts:
-            if body := SPACE.sub(" ", unescape("".join(parts))).strip():
-                out.append((body, linked, heading, own > 0))
-            parts.clear()
-        linked, heading = 0, False
-
+    page, at, n = _Page(), 0, len(html)
     while at < n:
         m = TAG.search(html, at)
         end = m.start() if m else n
-        if end > at and not skip:
-            piece = html[at:end]
-            parts.append(piece)
-            if anchors:
-                linked += len(piece.strip())
+        if end > at:
+            page.text(html[at:end])
         if not m:
             break
         at = m.end()
         name = m[3]
         if name is None:
-            if m[1] and not skip:
-                parts.append(m[1].replace("&", "&amp;"))
+            if m[1]:
+                page.text(m[1].replace("&", "&amp;"))
             continue
         name = name.lower()
         if m[2]:
-            if not any(x == name for x, _ in stack):
-                if name == "p" and not skip:
-                    close()
-                continue
+            page.end(name)
+        elif name in RAW:
             if name in BLOCKS or name in SKIPPED:
-                close()
-            while True:  # elements left open inside end with it
-                x, hides = stack.pop()
-                skip -= hides
-                own -= x in ("article", "main")
-                anchors -= x == "a"
-                if x == name:
-                    break
-            continue
-        if name in BLOCKS or name in SKIPPED:
-            close()
-            if name == "p" and any(x == "p" for x, _ in stack):
-                # a paragraph that is still open ends where the next begins, with the inline elements in it
-                while stack:
-                    if stack[-1][0] in BLOCKS and stack[-1][0] != "p":
-                        break
-                    x, hides = stack.pop()
-                    skip -= hides
-                    anchors -= x == "a"
-                    if x == "p":
-                        break
-            elif name in ("li", "td", "th", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
-                skip -= stack.pop()[1]
-            if name in HEADING and not skip:
-                heading = True
-        if name == "br":
-            if not skip:
-                parts.append(" ")
-            continue
-        if name in VOID:
-            continue
-        attributes = m[4] or ""
-        hides = name in SKIPPED
-        if not hides and name not in OWN and attributes:
-            hides = any(FURNITURE.search(a or b or c) for a, b, c in NAMED.findall(attributes)) or bool(HIDDEN.search(attributes))
-        if hides and name in ("header",) and own:
-            hides = False  # an article's own header bears its title
-        if name in RAW:
+                page.close_block()
             end = RAW[name].search(html, at)
             at = end.end() if end else n
-            continue
-        if m[5]:
-            continue
-        stack.append((name, hides))
-        skip += hides
-        own += name in ("article", "main")
-        anchors += name == "a"
-    close()
-    return out
+        else:
+            page.start(name, m[4] or "", bool(m[5]))
+    page.close_block()
+    return page.out
 
 
 def classify(found: list[tuple[str, int, bool, bool]], *, max_links: float = 0.33, short: int = 70, long: int = 200, low: float = 0.15, high: float = 0.3) -> list[bool]:
-    """Whether each block is main text. First pass: many links: bad; short: open; else by stop-word density and length good, nearly good or bad. Second pass: open and nearly good blocks take the label of the nearest decided block on either side, good if the two differ and the block is nearly good, or one of them is missing. Being inside an article or main element is one feature: blocks there are nearly good instead of open or bad for want of stop words, links weigh less, and only decided blocks of the same stretch inside are their neighbours."""
+    """Whether each block is main text. First pass: many links: bad; short: open; else by stop-word density and length good, nearly good or bad. Second pass: open and nearly good blocks take the label of the nearest decided block on either side, good if the two differ and the block is nearly good, or one of them is missing. Being inside an article or main element is one feature: blocks there are nearly good instead of open or bad for want of stop words, links weigh less (there a short block of nothing but a link is bad only beside another one, as in a menu), and only decided blocks of the same stretch inside are their neighbours."""
     labels: list[str] = []
-    for body, linked, heading, own in found:
+    item = [own and linked > 0.8 * len(body) and body.count(" ") < 3 for body, linked, _, own in found]
+    for i, (body, linked, heading, own) in enumerate(found):
         words = body.lower().split()
         density = sum(w.strip(".,;:!?") in STOP_WORDS for w in words) / len(words)
-        if linked > max_links * len(body) and (not own or linked > 0.8 * len(body) and len(words) < 4):
+        menu = item[i] and (i > 0 and item[i - 1] or i + 1 < len(item) and item[i + 1])
+        if menu or linked > max_links * len(body) and not own:
             label = "bad"
         elif len(body) < short:
             label = "near" if own else "open"
@@ -176,7 +204,7 @@ def extract(html: str | None) -> str:
 def extract_main_text(pages: DataFrame, *, html: str = "html", page_id: str = "page_id", url: str = "url") -> DataFrame:
     """One row a page: page_id, url, text, n_chars (code points).
 
-    Null and empty pages and pages without main text give an empty string. Broken markup ends with the page; elements left open end with the element around them. Pages are judged alone, whole; repeated rows give repeated results, an empty table none.
+    Null and empty pages and pages without main text give an empty string. Broken markup ends with the page; elements left open end with the element around them, and end tags without a start are passed over, in time that grows with the page's length alone. Pages are judged alone, whole, however long; repeated rows and ids give repeated results, null ids and urls stay null, an empty table gives none; other columns of pages, whatever their names, are not read.
     """
     prepare(pages.sparkSession)
 
