@@ -18,8 +18,8 @@ class LabelModel:
         self.tables = np.zeros((n_voters, 2, 3))
         self.correlations = np.eye(n_voters)
 
-    def fit(self, patterns: np.ndarray, counts: np.ndarray, start: np.ndarray, *, rounds: int = 60, anchor: np.ndarray | None = None, pull: float = 0.0) -> LabelModel:
-        """patterns: (rows, voters); start: first guess of P(class 1) for each pattern; anchor, pull: known shares of class 1 among a pattern's rows and their weight."""
+    def fit(self, patterns: np.ndarray, counts: np.ndarray, start: np.ndarray, *, rounds: int = 60) -> LabelModel:
+        """patterns: (rows, voters); start: first guess of P(class 1) for each pattern, which says which class is which."""
         counts = counts.astype(float)
         q = np.clip(start, 0.02, 0.98)
         one_hot = np.stack([patterns == v for v in (-1, 0, 1)], 2).astype(float)
@@ -30,14 +30,16 @@ class LabelModel:
             self.tables /= self.tables.sum(2, keepdims=True)
             self._correlate(one_hot, mass)
             new = self.posterior(patterns)
-            if anchor is not None:
-                new = (1 - pull) * new + pull * anchor
-            if np.abs(new - q).max() < 1e-6:
-                q = new
-                break
+            moved = np.abs(new - q).max()
             q = new
+            if moved < 1e-6:
+                break
         return self
 
+    def flip(self) -> None:
+        """The classes change places."""
+        self.tables, self.prior = self.tables[:, ::-1], 1 - self.prior
+
     def _correlate(self, one_hot: np.ndarray, mass: np.ndarray) -> None:
         shared = np.zeros((self.n, self.n))
         value = one_hot[:, :, 2] - one_hot[:, :, 1]
@@ -74,24 +76,17 @@ class LabelModel:
         return right / np.maximum(right + wrong, 1e-12)
 
 
-def select_features(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, bins: int, *, least: float = 3.0, z: float = 3.0) -> np.ndarray:
-    """Bins whose presence differs between the classes by z standard errors of the log odds."""
-    n = np.zeros((2, bins))
-    for (at, _), y in zip(rows, target, strict=True):
-        n[0, at] += 1 - y
-        n[1, at] += y
-    total = np.array([len(target) - target.sum(), target.sum()])
-    a, b = n[1] + 0.5, n[0] + 0.5
-    odds = np.log(a / (total[1] - n[1] + 0.5)) - np.log(b / (total[0] - n[0] + 0.5))
-    error = np.sqrt(1 / a + 1 / b + 1 / (total[1] - n[1] + 0.5) + 1 / (total[0] - n[0] + 0.5))
-    return (n.sum(0) >= least) & (np.abs(odds) >= z * error)
+def feature_scores(a: np.ndarray, b: np.ndarray, total_a: float, total_b: float) -> np.ndarray:
+    """How many standard errors apart the log odds of features are that stand in a rows of total_a in one class and in b of total_b in the other; 0 for those in fewer than three rows."""
+    a_, b_ = a + 0.5, b + 0.5
+    rest_a, rest_b = total_a - a + 0.5, total_b - b + 0.5
+    odds = np.log(b_ / rest_b) - np.log(a_ / rest_a)
+    return np.where(a + b >= 3, odds / np.sqrt(1 / a_ + 1 / b_ + 1 / rest_a + 1 / rest_b), 0.0)
 
 
-def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, bins: int, *, keep: np.ndarray | None = None, epochs: int = 12, rate: float = 0.3, l2: float = 1e-5, balance: bool = True, seed: int = 7) -> tuple[np.ndarray, float]:
+def fit_linear(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, bins: int, *, epochs: int = 12, rate: float = 0.3, l2: float = 1e-5, balance: bool = True, seed: int = 7) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by adaptive gradient steps over rows of (bins, values); deterministic for the order of rows and the seed."""
     w, g2, bias, gb = np.zeros(bins), np.full(bins, 1e-2), 0.0, 1e-2
-    if keep is not None:
-        rows = [(at[m], v[m]) for at, v in rows for m in [keep[at]]]
     share = min(max(float(target.mean()), 1e-3), 1 - 1e-3) if len(target) else 0.5
     rng = np.random.default_rng(seed)
     for _ in range(epochs):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import prepare, stored
+from textmill.llm.common import discard, prepare, stored
 from textmill.llm.label_model import LabelModel, fit_linear
 
 BINS = 1 << 14
@@ -52,37 +53,46 @@ def vote(m: list[float]) -> list[int]:
     ]
 
 
-_SHAPES: dict[str, str] = {}
+class Shapes(dict):
+    """The shape of a token, kept for a bounded number of short tokens.
 
+    Kinds of characters run by run: upper, lower, digits, other letters, marks with the size of their run by powers of two. A token of more than eight runs is described by the kinds in it, their shares in quarters and the number of runs by powers of two: all of it is read, and like tokens of any length have one shape.
+    """
+
+    LIMIT, LONGEST = 150_000, 48
 
-def shape(token: str) -> str:
-    """Kinds of characters in a token: runs of upper, lower, digits, other letters; up to three of the same mark."""
-    s = _SHAPES.get(token)
-    if s is None:
-        if len(_SHAPES) > 300_000:
-            _SHAPES.clear()
-        out = []
+    def __missing__(self, token: str) -> str:
+        out, sizes = [], {}
         for m in SHAPE.finditer(token):
-            out.append("A" if m[1] else "a" if m[2] else "9" if m[3] else "x" if m[4] else " " if m[5] else m[6][:3])
-            if len(out) > 8:
-                break
-        s = _SHAPES[token] = "".join(out)
-    return s
+            kind = "A" if m[1] else "a" if m[2] else "9" if m[3] else "x" if m[4] else " " if m[5] else m[6][0]
+            n = m.end() - m.start()
+            out.append(kind if kind in "Aa9x " else f"{kind}{n.bit_length()}")
+            sizes[kind] = sizes.get(kind, 0) + n
+        shape = "".join(out)
+        if len(out) > 8:
+            shape = f"{len(out).bit_length()}:" + "".join(f"{k}{4 * v // len(token)}" for k, v in sorted(sizes.items()))
+        if len(token) <= self.LONGEST:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[token] = shape
+        return shape
+
+
+_SHAPES = Shapes()
 
 
 def features(text: str, m: list[float]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: shares of token shapes, and bins of the measures."""
+    """Hashed features: shares of token shapes, and bins of the measures, in tenths up to two and quarters of a power of two beyond."""
     shapes: dict[str, int] = {}
     words = text.split()
-    for w in words:
-        s = shape(w)
+    for s in map(_SHAPES.__getitem__, words):
         shapes[s] = shapes.get(s, 0) + 1
     found: dict[int, float] = {}
     for s, c in shapes.items():
         k = xxhash.xxh3_64_intdigest("s" + s) % BINS
         found[k] = found.get(k, 0.0) + c / len(words)
     for i, x in enumerate(m[1:], 1):
-        k = xxhash.xxh3_64_intdigest(f"m{i}:{min(20, round(x * 10))}") % BINS
+        k = xxhash.xxh3_64_intdigest(f"m{i}:{round(x * 10) if x < 2 else 20 + round(4 * math.log2(x / 2))}") % BINS
         found[k] = found.get(k, 0.0) + 0.3
     return np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), float, len(found))
 
@@ -105,9 +115,9 @@ def fit(docs: DataFrame, *, max_fit: int = MAX_FIT) -> tuple[np.ndarray, float,
     good, bad = (patterns == 1).sum(1), (patterns == 0).sum(1)
     model = LabelModel(len(LABELLERS), smoothing=2.0, floor=0.0).fit(patterns, counts, start=(good + 0.5) / (good + 4 * bad + 1))
     if model.accuracies().mean() < 0.5:  # classes changed places
-        model.tables, model.prior = model.tables[:, ::-1], 1 - model.prior
+        model.flip()
     ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit)
-    ids = F.broadcast(stored(ids, "quality-fit"))  # at most max_fit ids
+    chosen = stored(ids, "quality-fit")  # at most max_fit ids
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -116,7 +126,10 @@ def fit(docs: DataFrame, *, max_fit: int = MAX_FIT) -> tuple[np.ndarray, float,
             found = [features(t or "", m) for t, m in zip(b.column(1).to_pylist(), ms, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([vote(m) for m in ms], pa.list_(pa.int32())), pa.array([a.astype("<i4").tobytes() for a, _ in found], pa.binary()), pa.array([v.tobytes() for _, v in found], pa.binary())], ["doc_id", "votes", "at", "value"])
 
-    rows = sorted(map(tuple, docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sampled, "doc_id long, votes array<int>, at binary, value binary").collect()))
+    # of rows that repeat an id the least text speaks, so that a hot id adds one row
+    once = docs.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = sorted(map(tuple, once.mapInArrow(sampled, "doc_id long, votes array<int>, at binary, value binary").collect()))
+    discard(chosen)
     if not rows:
         return np.zeros(BINS), 2.0, model
     soft = model.posterior(np.array([r[1] for r in rows]))
@@ -144,7 +157,7 @@ class Scorer:
 
 
 def keep_good(docs: DataFrame, *, threshold: float = 0.3, max_fit: int = MAX_FIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs, with all their columns, whose score reaches the threshold; the scorer is that of classify_quality."""
+    """The rows of docs, with all their columns, whose score reaches the threshold; the scorer is that of classify_quality. Blank texts go, rows with a null doc_id are judged like others, repeated rows share their fate; columns of docs keep their names and values, whatever they are."""
     prepare(docs.sparkSession)
     w, bias, _ = fit(docs.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"cast(`{text}` as string) as text"), max_fit=max_fit)
     used, at = {int(i): float(w[i]) for i in np.flatnonzero(w)}, docs.columns.index(text)
@@ -160,7 +173,7 @@ def keep_good(docs: DataFrame, *, threshold: float = 0.3, max_fit: int = MAX_FIT
 def classify_quality(docs: DataFrame, *, threshold: float = 0.3, max_fit: int = MAX_FIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row a document: doc_id, score (0 to 1, higher: better), kept (score >= threshold).
 
-    Scores depend on the text alone; null and blank texts are scored 0, texts of one to four words 0.5. Texts go through whole; repeated rows agree; an empty table gives none; a null doc_id is scored like any other and never fitted on.
+    Scores depend on the text alone; null and blank texts are scored 0, texts of one to four words 0.5. Texts go through whole; repeated rows agree; an empty table gives none; a null doc_id is scored like any other and never fitted on; of rows that repeat an id one is. Texts are read whole, however long. Other columns of docs, whatever their names, are not read.
     """
     prepare(docs.sparkSession)
     rows = docs.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"cast(`{text}` as string) as text")
