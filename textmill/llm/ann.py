@@ -1,6 +1,8 @@
 """Approximate nearest neighbours by cosine: NN-descent builds a neighbour graph through iterative joins of neighbours of neighbours, and queries walk it greedily.
 
-Equal vectors are one node of the graph. Its first edges come from a few random partitions of the space, fitted on a bounded sample, in whose cells all pairs are compared; cells of more than CELL nodes are split. Each round of NN-descent then brings the vectors of every node's neighbours, forward and reverse, together and compares them with each other. Queries start from their own node's neighbours and expand the best nodes of their beam round by round. Graph and search compare squared distances of 32-bit unit vectors, which tell near copies apart where cosines round to one; the whole beam is ranked again by exact cosines of the original vectors.
+Equal vectors are one node of the graph. Its first edges come from a few orders of the nodes: each order sorts them by the sides of random hyperplanes on which they lie and then along a random direction, and compares all pairs in stretches of CELL consecutive nodes. That is a range sort, so stretches have one size whatever the data. Each round of NN-descent then brings the vectors of every node's neighbours, forward and reverse, together and compares them with each other, until few lists change. Queries start from their own node's neighbours and expand the best nodes of their beam round by round, until all of the beam is expanded. Graph and search compare squared distances of 32-bit unit vectors, which tell near copies apart where cosines round to one; the whole beam is ranked again by exact cosines of the original vectors.
+
+Python groups are sized in bytes: GROUP_BYTES of vectors, whatever the number of nodes or of shuffle partitions.
 """
 
 from __future__ import annotations
@@ -10,38 +12,39 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.llm.common import discard, input_partitions, prepare, stored
+from textmill.llm.common import discard, prepare, stored
 
-#: Nodes that partitions of the space are fitted on, at most.
-MAX_SAMPLE = 20_000
-#: Nodes of a cell in which all pairs are compared.
+#: Nodes that hyperplanes are laid through, at most; every node is placed by them.
+MAX_SAMPLE = 4_000
+#: Hyperplanes of an order.
+PLANES = 32
+#: Nodes of a stretch in which all pairs are compared.
 CELL = 320
+#: Bytes of vectors in a Python group, about.
+GROUP_BYTES = 48 << 20
 
 
-def directions(sample: np.ndarray, levels: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """A partition: for each level the hyperplanes of its cells, through two sample points' middle, and their offsets."""
-    rng = np.random.default_rng(seed)
-    out, cell = [], np.zeros(len(sample), np.int64)
-    for level in range(levels):
-        planes, offsets = np.zeros((1 << level, sample.shape[1]), np.float32), np.zeros(1 << level, np.float32)
-        for c in range(1 << level):
-            own = np.flatnonzero(cell == c)
-            if len(own) < 2:
-                planes[c] = rng.standard_normal(sample.shape[1])
-                continue
-            a, b = sample[rng.choice(own, 2, replace=False)]
-            planes[c] = a - b if np.any(a != b) else rng.standard_normal(sample.shape[1])
-            offsets[c] = np.median(sample[own] @ planes[c])
-        out.append((planes, offsets))
-        cell = 2 * cell + ((sample * planes[cell]).sum(1) > offsets[cell])
-    return out
+class Order:
+    """Hyperplanes in the middle of two sample points each, at the sample's median, and a direction."""
+
+    def __init__(self, sample: np.ndarray, seed: int):
+        rng = np.random.default_rng(seed)
+        n, dim = sample.shape
+        a, b = sample[rng.integers(0, n, PLANES)], sample[rng.integers(0, n, PLANES)]
+        same = ~np.any(a != b, axis=1)
+        self.planes = np.where(same[:, None], rng.standard_normal((PLANES, dim)), a - b).astype(np.float32)
+        self.offsets = np.median(sample @ self.planes.T, axis=0)
+        self.direction = rng.standard_normal(dim).astype(np.float32)
+
+    def keys(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sides of the hyperplanes as bits, the first in front; place along the direction)."""
+        sides = vectors @ self.planes.T > self.offsets
+        return sides @ (1 << np.arange(PLANES - 1, -1, -1, dtype=np.int64)), (vectors @ self.direction).astype(np.float64)
 
 
-def cells(vectors: np.ndarray, tree: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    cell = np.zeros(len(vectors), np.int64)
-    for planes, offsets in tree:
-        cell = 2 * cell + ((vectors * planes[cell]).sum(1) > offsets[cell])
-    return cell
+def group_size(dim: int, rows: int) -> int:
+    """How many owners of so many vectors each make up a Python group."""
+    return max(1, GROUP_BYTES // (rows * (4 * dim + 64)))
 
 
 def as_matrix(raw: pd.Series) -> np.ndarray:
@@ -68,42 +71,58 @@ def runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(at.tolist(), [*at[1:].tolist(), len(sorted_keys)], strict=True))
 
 
-def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: int = 3, seed: int = 11) -> DataFrame:
-    """nodes: id, v (32-bit unit vector). (id, ids, sims): about the k nearest of each node and minus their squared distances, nearest first, packed."""
-    spark = nodes.sparkSession
-    count = nodes.count()
-    buckets = max(1, min(input_partitions(spark), count // 200 + 1), count // 5_000 + 1)
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).alias("bucket")
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("v").toPandas() if count else pd.DataFrame({"v": []})
-    levels = max(0, int(np.ceil(np.log2(max(1, count) / (CELL * 0.7)))))
-    fitted = [directions(as_matrix(sample.v), min(levels, 14), seed + t) if levels else [] for t in range(trees if levels else 1)]
+def first_edges(nodes: DataFrame, count: int, sample: np.ndarray, *, k: int, orders: int, seed: int) -> DataFrame:
+    """(id, ids, sims): for each order of the nodes the k nearest of each node in its stretch. Nodes of one stretch have all their pairs compared at once."""
+    fitted = [Order(sample, seed + t) for t in range(orders if count > CELL else 1)]
 
     def place(batches):
         for pdf in batches:
-            v = as_matrix(pdf.v) if len(pdf) else np.empty((0, 1), np.float32)
-            for t, tree in enumerate(fitted):
-                yield pd.DataFrame({"tree": np.full(len(pdf), t, np.int32), "cell": cells(v, tree), "id": pdf.id, "v": pdf.v})
-
-    placed = nodes.mapInPandas(place, "tree int, cell long, id long, v binary")
-    # large cells are split into parts by a hash, so no task meets an unbounded group
-    sizes = stored(placed.groupBy("tree", "cell").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts")), "ann-cells")
-    placed = placed.join(sizes, ["tree", "cell"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, own in pdf.groupby(["tree", "cell", "part"], sort=False):
-            m, ids = as_matrix(own.v), own.id.to_numpy()
-            if len(ids) < 2:
-                continue
-            sims = closeness(m)
+            if len(pdf):
+                v = as_matrix(pdf.v)
+                for t, order in enumerate(fitted):
+                    code, along = order.keys(v)
+                    yield pd.DataFrame({"tree": np.full(len(pdf), t, np.int32), "code": code, "along": along, "id": pdf.id, "v": pdf.v})
+
+    def compare(batches):
+        def lists(own: pd.DataFrame):
+            m, ids = as_matrix(own.v), own.id.to_numpy(np.int64)
             n = min(k, len(ids) - 1)
+            if n < 1:
+                return
+            sims = closeness(m)
             top = np.argpartition(-sims, n - 1, axis=1)[:, :n]
-            for i, at in enumerate(top):
-                out.append((ids[i], ids[at].astype("<i8").tobytes(), sims[i, at].astype("<f4").tobytes()))
-        return pd.DataFrame(out, columns=["id", "ids", "sims"])
+            near = np.take_along_axis(sims, top, 1).astype("<f4")
+            yield pd.DataFrame({"id": ids, "ids": [ids[x].astype("<i8").tobytes() for x in top], "sims": [x.tobytes() for x in near]})
 
+        held = None
+        for pdf in batches:
+            held = pdf if held is None or not len(held) else pd.concat([held, pdf], ignore_index=True)
+            while len(held):
+                tree = held.tree.to_numpy()
+                last = int(np.searchsorted(tree, tree[0], "right"))  # stretches end with their order
+                if last == len(held) and last < CELL:
+                    break
+                yield from lists(held[: min(CELL, last)])
+                held = held[min(CELL, last) :].reset_index(drop=True)
+        if held is not None and len(held):
+            yield from lists(held)
+
+    keys = ["tree", "code", "along", "id"]
+    placed = nodes.mapInPandas(place, "tree int, code long, along double, id long, v binary")
+    dealt = placed.repartitionByRange(*keys) if count > CELL else placed.coalesce(1)  # CELL rows at most
+    return dealt.sortWithinPartitions(*keys).mapInPandas(compare, "id long, ids binary, sims binary")
+
+
+def neighbour_graph(nodes: DataFrame, *, k: int = 24, orders: int = 5, rounds: int = 6, settled: float = 0.03, seed: int = 11) -> DataFrame:
+    """nodes: id, v (32-bit unit vector). (id, ids, sims): about the k nearest of each node and minus their squared distances, nearest first, packed. Rounds of NN-descent end when less than `settled` of the entries are new; of up to CELL nodes the first edges are exact, and none is needed."""
+    count = nodes.count()
+    if count == 0:
+        return nodes.selectExpr("id", "v as ids", "v as sims").limit(0)
+    sample = as_matrix(nodes.orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE).select("v").toPandas().v)
+    buckets = count // group_size(sample.shape[1], 2 * k) + 1
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).alias("bucket")
+    found = first_edges(nodes, count, sample, k=k, orders=orders, seed=seed)
     packed = "id long, ids binary, sims binary"
-    found = placed.groupBy(F.pmod(F.xxhash64("tree", "cell", "part"), F.lit(buckets)).alias("bucket")).applyInPandas(compare, packed)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         """The k nearest of all lists of a node, each id once, ties to the smaller id; fresh: not in the list of kind 0."""
@@ -125,7 +144,7 @@ def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: in
     full = packed + ", fresh binary"
     graph = stored(found.withColumn("kind", F.lit(1)).groupBy(bucket("id")).applyInPandas(merge, full), "ann-graph")
     every = nodes.select("id").join(graph.select("id"), "id", "left_anti") if count <= 1 else None
-    for _ in range(rounds if levels else 0):
+    for _ in range(rounds if count > CELL else 0):
 
         def edges(batches):
             for pdf in batches:
@@ -164,17 +183,21 @@ def neighbour_graph(nodes: DataFrame, *, k: int = 24, trees: int = 5, rounds: in
         new = stored(both.groupBy(bucket("id")).applyInPandas(merge, full), "ann-graph")
         discard(graph)
         graph = new
-    discard(sizes)
+        share = graph.agg(F.sum(F.length(F.replace(F.hex("fresh"), F.lit("00"), F.lit("")))) / 2 / F.sum(F.length("fresh"))).first()[0]
+        if (share or 0) < settled:
+            break
     return graph if every is None else graph.unionByName(every.select("id", F.lit(b"").alias("ids"), F.lit(b"").alias("sims"), F.lit(b"").alias("fresh")))
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int = 192, width: int = 32, rounds: int = 7) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int = 192, width: int = 32, k: int = 24) -> DataFrame:
     """queries: id of a node. (id, ids): the beam of each query after its greedy walk, nearest first, packed; the node itself is left out."""
     spark = nodes.sparkSession
     prepare(spark)
     vectors = nodes.select("id", "v")
-    buckets = input_partitions(spark)
-    start = queries.select("id").distinct().join(vectors, "id").join(graph.select("id", "ids", "sims"), "id")
+    asked = stored(queries.select("id").distinct(), "ann-queries")
+    dim = nodes.select(F.length("v") / 4).limit(1).collect()
+    buckets = asked.count() // group_size(int(dim[0][0]) if dim else 1, width * k) + 1
+    start = asked.join(vectors, "id").join(graph.select("id", "ids", "sims"), "id")
 
     def begin(batches):
         for pdf in batches:
@@ -183,7 +206,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int
     state_schema = "id long, v binary, ids binary, sims binary, done binary, open boolean"
     state = stored(start.mapInPandas(begin, state_schema), "ann-beam")
 
-    for _ in range(rounds):
+    while True:  # every round expands nodes of the beam, which only gets better: the walk ends
 
         def frontier(batches):
             for pdf in batches:
@@ -229,6 +252,7 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int
         state = new
         if not state.where("open").limit(1).count():
             break
+    discard(asked)
     return state.select("id", "ids")
 
 
@@ -241,10 +265,10 @@ def usable(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embe
     return rows.where(F.size("e") == (size.n if size else -1))
 
 
-def nearest(vectors: DataFrame, *, every: int = 50, top: int = 5, k: int = 24, trees: int = 5, rounds: int = 3, beam: int = 192, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, *, every: int = 50, top: int = 5, k: int = 24, orders: int = 5, rounds: int = 6, beam: int = 192, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by `every` its `top` nearest other rows by cosine.
 
-    Vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null vec_id or of another size than most. Of fewer candidates all are returned. Ties go to the smaller vec_id; equal vectors, however many, are one node and give their smallest ids. Rows that repeat a vec_id with one vector count once. An empty table gives none.
+    Vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null vec_id or of another size than most. Of fewer candidates all are returned. Ties go to the smaller vec_id; equal vectors, however many, are one node and give their smallest ids. Rows that repeat a vec_id with one vector count once; a vec_id with several vectors is as near as the nearest two of theirs. Other columns, whatever their names, are not read. An empty table gives none.
     """
     spark = vectors.sparkSession
     prepare(spark)
@@ -261,10 +285,10 @@ def nearest(vectors: DataFrame, *, every: int = 50, top: int = 5, k: int = 24, t
             yield pd.DataFrame({"id": pdf.id, "v": [x.tobytes() for x in m]})
 
     nodes = stored(firsts.mapInPandas(unit, "id long, v binary"), "ann-nodes")
-    graph = neighbour_graph(nodes, k=k, trees=trees, rounds=rounds)
+    graph = neighbour_graph(nodes, k=k, orders=orders, rounds=rounds)
     asked = rows.where(F.col("vec_id") % every == 0)
     asked = stored(asked.join(firsts, "e").select(F.col("vec_id").alias("query_id"), "id", F.col("e").alias("q")), "ann-asked")
-    beams = search(graph, nodes, asked.select("id"), beam=beam)
+    beams = search(graph, nodes, asked.select("id"), beam=beam, k=k)
 
     def unpack(batches):
         for pdf in batches:
