@@ -1,6 +1,8 @@
 """Similarity join of documents on sets of word n-grams by vertical partitioning.
 
-The global order of n-grams is cut into fragments. First every document's n-grams go to the tasks of their fragments, packed; there n-grams of one document only fall out, and the others get their document frequency. Documents of which too few n-grams are left cannot link and fall out too. Equal sets become one class. A document's rarest n-grams (its prefix) must hold one of every partner's: documents that share them, directly or through others, form blocks, outside of which no link can be. In a block, each task counts the partial overlaps of all pairs in one fragment, as one packed matrix; matrices are summed per pair, pairs over the threshold are the links, and only a spanning forest and link counts leave the task. Blocks of more than TILE classes are cut into tiles of two chunks each.
+The global order of n-grams is cut into fragments. First every document's n-grams go to the tasks of their fragments, packed; there n-grams of one document only fall out, and the others get their document frequency. Documents of which too few n-grams are left cannot link and fall out too. Equal sets become one class. A document's rarest n-grams (its prefix) must hold one of every partner's: documents that share them, directly or through others, form blocks, outside of which no link can be. In a block, each task counts the partial overlaps of all pairs in one fragment, as one packed matrix; matrices are summed per pair, pairs over the threshold are the links, and only a spanning forest and link counts leave the task. Blocks of more than TILE classes or TILE_NGRAMS n-grams are cut into tiles of two chunks each.
+
+How many fragments, buckets and groups of tiles there are follows from the data alone, so what a task holds at once does not grow with the input: a group has about FRAGMENT_NGRAMS n-grams, and a shuffle partition takes one group after the other.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import input_partitions, prepare, shingle_hashes, stored
+from textmill.llm.common import discard, prepare, shingle_hashes, stored
 from textmill.llm.graph import connected_components
 
 #: n-grams that a fragment's task holds at once, about.
@@ -24,6 +26,8 @@ FRAGMENT_NGRAMS = 2_000_000
 BUFFER_NGRAMS = 2_000_000
 #: Classes in a chunk of a block.
 TILE = 1_500
+#: N-grams of the classes in a chunk of a block, about.
+TILE_NGRAMS = 4_000_000
 #: Fragments of the order in which a block's overlaps are counted.
 FRAGMENTS = 4
 
@@ -282,26 +286,29 @@ def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "t
     """One row a document: doc_id, n_shingles, component_id, n_links, class_id.
 
     A document's set: distinct n-word shingles after lower-casing A-Z; with fewer words, the whole sequence as one; without words or text, empty and linked with nothing. Two documents link when 100 * intersection >= percent * union. component_id: the smallest doc_id reachable by links, its own included; class_id: the smallest doc_id with an equal set; n_links: its partners, copies among them.
-    All links count; equal sets and large groups are never expanded into pairs of rows. Rows with one doc_id are one document (the largest of its sets counts); rows with a null doc_id have n_shingles and null ids; an empty table gives none. Shingles are compared by 64-bit hashes.
+    All links count; equal sets and large groups are never expanded into pairs of rows. Rows with one doc_id are one document (the largest of its sets counts); rows with a null doc_id have n_shingles and null ids; an empty table gives none. Texts are read whole, however long; ties need no order, as components and classes go by the smallest id. Other columns of docs, whatever their names, are not read. Shingles are compared by 64-bit hashes.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"cast(`{text}` as string) as text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, min(input_partitions(spark), int(size / 6 / 50_000) + 1), int(size / 6 / FRAGMENT_NGRAMS) + 1)
+    parts = int(size / 6 / FRAGMENT_NGRAMS) + 1
     known = rows.where(F.col("doc_id").isNotNull())
     sets = stored(surviving_sets(shared_ngrams(ngram_segments(known, n, parts), parts), percent), "ngram-sets")
     live = sets.where(F.col("ngrams").isNotNull())
-    keys = live.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
+    keys = live.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
     keys = stored(keys, "ngram-classes")
     prefixes = stored(prefix_ngrams(live, percent), "ngram-prefixes")
     first = prefixes.groupBy("ngram").agg(F.min("doc_id").alias("b"), F.count("*").alias("k")).where("k > 1")
     blocks = connected_components(prefixes.join(first, "ngram").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"))
     # only one document of each class is compared; blocks of one class have no pairs
-    blocks = stored(blocks.withColumnsRenamed({"node": "doc_id", "component": "block"}).join(keys.select(F.col("class_id").alias("doc_id"), "copies"), "doc_id"), "ngram-blocks")
-    chunks = blocks.groupBy("block").agg(F.count("*").alias("k")).where("k > 1").select("block", F.ceil(F.col("k") / TILE).cast("int").alias("chunks"))
+    firsts = keys.select(F.col("class_id").alias("doc_id"), "copies", F.col("n").alias("class_n"))
+    blocks = stored(blocks.withColumnsRenamed({"node": "doc_id", "component": "block"}).join(firsts, "doc_id"), "ngram-blocks")
+    cut = F.greatest(F.ceil(F.col("k") / TILE), F.ceil(F.col("total") / TILE_NGRAMS)).cast("int")
+    chunks = blocks.groupBy("block").agg(F.count("*").alias("k"), F.sum("class_n").alias("total")).where("k > 1").select("block", cut.alias("chunks"))
     places = stored(blocks.join(chunks, "block").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")), "ngram-places")
-    placed = live.select("doc_id", "n", "ngrams").join(broadcast_if_small(places), "doc_id")
+    groups = int((places.agg(F.sum(F.col("class_n") * F.col("chunks"))).first()[0] or 0) / FRAGMENT_NGRAMS) + 1
+    placed = live.select("doc_id", "n", "ngrams").join(broadcast_if_small(places.drop("class_n")), "doc_id")
     # a class of chunk c stands left in tiles (c, j) with j > c, right in (i, c) with i < c, and on both sides in (c, c)
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     tiles = placed.select("block", "doc_id", "n", "copies", "ngrams", "chunk", "chunks", other).select(
@@ -309,12 +316,13 @@ def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "t
         F.when(F.col("chunk") == F.col("other"), 0).when(F.col("chunk") < F.col("other"), 1).otherwise(2).alias("side"),
         "doc_id", "n", "copies", "ngrams",
     )
-    found = stored(count_tiles(tiles, percent, parts), "ngram-links")
+    found = stored(count_tiles(tiles, percent, groups), "ngram-links")
     links = found.groupBy("doc_id").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.max("root").alias("last"), F.count("*").alias("tiles"))
     if links.where("tiles > 1").limit(1).count():  # blocks of several tiles are joined up
         joined = connected_components(found.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
         links = links.join(joined.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").select("doc_id", "links", F.coalesce("component", "doc_id").alias("root"))
-    per_class = stored(keys.join(links.select(F.col("doc_id").alias("class_id"), "links", "root"), "class_id", "left"), "ngram-results")
+    per_class = stored(keys.drop("n").join(links.select(F.col("doc_id").alias("class_id"), "links", "root"), "class_id", "left"), "ngram-results")
+    discard(keys, prefixes, blocks, places, found)
     out = sets.select("doc_id", "n", "class_key").join(broadcast_if_small(per_class), "class_key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "class_id", "doc_id").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"), F.coalesce("class_id", "doc_id").alias("class_id"),

@@ -89,6 +89,16 @@ m AS (SELECT *, len(string_split_regex(trim(l, ' '), '{_SPACE}')) AS n, length(l
 k AS (SELECT doc_id, string_agg(l, chr(10) ORDER BY i) AS clean FROM m WHERE NOT ((nav >= 3 AND nav * 4 >= n) OR (marks * 4 >= n AND marks >= 3) OR (letters >= 40 AND upper * 10 >= letters * 8) OR symbols * 10 > chars OR (chars >= 20 AND letters * 2 < chars) OR (n <= 12 AND regexp_matches(lower(l), '{"|".join(BOILERPLATE)}'))) GROUP BY 1),
 o AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '{_SPACE}', '', 'g'))::BIGINT AS word_chars, (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.k, 0)::BIGINT AS n_repeat_words, (CASE WHEN coalesce(clean, '') = '' THEN 0 ELSE len(string_split_regex(trim(clean, ' '), '{_SPACE}')) END)::BIGINT AS n_kept_words FROM w LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND (n_words - n_kept_words) <= 0.4 * n_words AS kept FROM o""",
+    "op2_ngram_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+z AS (SELECT d.doc_id, count(s.g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT p.a, p.b, k = x.n AND k = y.n AS same FROM p JOIN z x ON x.doc_id = p.a JOIN z y ON y.doc_id = p.b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r AS (SELECT doc_id, doc_id AS c FROM z UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c),
+c AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY 1),
+g AS (SELECT a AS doc_id, count(*) AS n_links, min(CASE WHEN same THEN b END) AS twin FROM l GROUP BY 1)
+SELECT z.doc_id, z.n AS n_shingles, c.component_id, coalesce(g.n_links, 0) AS n_links, least(z.doc_id, coalesce(g.twin, z.doc_id)) AS class_id FROM z JOIN c USING (doc_id) LEFT JOIN g USING (doc_id)""",
     "op7_mixing": r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(doc_id::VARCHAR) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k, count(*) OVER () AS c FROM d GROUP BY 1), w AS (SELECT *, [3, 1, 2][k % 3 + 1]::DOUBLE AS weight FROM s), r AS (SELECT *, source_size * 2.0::DOUBLE / weight AS r FROM w),
