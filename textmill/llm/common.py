@@ -26,7 +26,7 @@ BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> None:
-    """Gives executors the package, and bounds the rows of an Arrow batch: with texts of 100 kB the default of 10,000 rows would be a GB."""
+    """Gives executors the package, and lowers the session's bound of rows in an Arrow batch for good, as plans are made later than the call: with texts of 100 kB the default of 10,000 rows would be a GB. Operators then work on slices bounded by bytes."""
     ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS:
@@ -34,9 +34,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir that all executors share; a temporary one only where it is unset (local tests)."""
+    """The folder in spark.checkpoint.dir that all executors share. Where it is unset, a local session gets a temporary one, and any other is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set: with master {master} it must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="checkpoint-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -70,11 +73,6 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def input_partitions(spark: SparkSession) -> int:
-    """Partitions of a shuffle, as the session has them."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns as the named types, whatever else the table has; columns=type."""
     return df.select(*(df[c].cast(t).alias(c) for c, t in columns.items()))
@@ -94,7 +92,7 @@ def word_hashes() -> WordHashes:
 class WordHashes(dict):
     """64-bit hashes of words, kept in a bounded memo."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.LIMIT:

@@ -63,26 +63,37 @@ def failing_line(line: Column) -> Column:
     return navigation | shouting | symbols | few_letters | furniture
 
 
-def quality_rules(docs: DataFrame, *, text: str = "text", min_words: int = 50, max_repeat: float = 0.5, max_lost: float = 0.4) -> DataFrame:
-    """Adds to each row n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_kept_words, clean_text, base_failed and kept; other columns stay.
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_kept_words", "clean_text", "base_failed", "kept")
 
-    Null and empty texts have no words and are rejected. kept needs min_words, at most max_repeat of the words in repeated windows, and at most max_lost of the words in lines that fail. Rows are judged alone, so ties and repeated rows get the same result; an empty table gives an empty one. Columns of these names in docs are replaced.
+
+def quality_rules(docs: DataFrame, *, text: str = "text", min_words: int = 50, max_repeat: float = 0.5, max_lost: float = 0.4, append: bool = True) -> DataFrame:
+    """Adds to each row n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_kept_words, clean_text, base_failed and kept; other columns stay, and columns of these names in docs are replaced. Without append: the rows of docs that are kept, with all columns as they are.
+
+    Null and empty texts have no words and are rejected. kept needs min_words, at most max_repeat of the words in repeated windows, and at most max_lost of the words in lines that fail; exactly so many are allowed. Texts are judged whole, however long. Rows are judged alone, so repeated rows and ids get the same result; an empty table gives an empty one. The columns of docs travel in a struct, so no name of theirs can clash with a helper's.
     """
-    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    t = F.col("t")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))
-    good = F.filter(lines, lambda x: ~failing_line(x))
-    clean = F.array_join(good, "\n")
     n = F.col("n_words")
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
     # CSE does not reach into lambdas: arrays that several columns need are made once, in a projection of their own
-    with_words = docs.withColumns({"__w": words(t), "__lines": lines})
-    out = with_words.withColumns({
-        "n_words": F.size("__w").cast("long"),
-        "word_chars": F.length(F.regexp_replace(t, rf"[{SPACE}]+", "")).cast("long"),
-        "n_symbols": (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
-        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-        "n_repeat_words": n_repeat_words(F.col("__w")).cast("long"),
-        "clean_text": F.array_join(F.filter(F.col("__lines"), lambda x: ~failing_line(x)), "\n"),
-    })
-    del good, clean
-    out = out.withColumns({"n_kept_words": F.when(F.col("clean_text") == "", F.lit(0)).otherwise(F.size(F.split(F.trim(F.col("clean_text")), rf"[{SPACE}]+"))).cast("long"), "base_failed": (n < min_words) | (F.col("n_repeat_words") > F.lit(max_repeat) * n)})
-    return out.withColumn("kept", ~F.col("base_failed") & (n - F.col("n_kept_words") <= F.lit(max_lost) * n)).drop("__w", "__lines")
+    out = out.withColumns({"w": words(t), "lines": lines})
+    repeats = n_repeat_words(F.col("w")).cast("long")
+    out = out.withColumns({"n_words": F.size("w").cast("long"), "n_repeat_words": repeats})
+    out = out.withColumn("base_failed", (n < min_words) | (F.col("n_repeat_words") > F.lit(max_repeat) * n))
+    clean = F.array_join(F.filter(F.col("lines"), lambda x: ~failing_line(x)), "\n")
+    if append:
+        out = out.withColumns({
+            "word_chars": F.length(F.regexp_replace(t, rf"[{SPACE}]+", "")).cast("long"),
+            "n_symbols": (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
+            "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+            "clean_text": clean,
+        })
+    else:  # lines are judged only where the verdict hangs on them
+        out = out.where(~F.col("base_failed")).withColumn("clean_text", clean)
+    kept_words = F.when(F.col("clean_text") == "", F.lit(0)).otherwise(F.size(F.split(F.trim(F.col("clean_text")), rf"[{SPACE}]+"))).cast("long")
+    out = out.withColumn("n_kept_words", kept_words)
+    kept = ~F.col("base_failed") & (n - F.col("n_kept_words") <= F.lit(max_lost) * n)
+    if not append:
+        return out.where(kept).select("row.*")
+    old = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in RESULTS]
+    return out.withColumn("kept", kept).select(*old, *RESULTS)
