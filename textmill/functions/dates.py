@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 POINT = ("day", "month", "year")
 
@@ -76,23 +74,27 @@ def month_starts(spark, lengths: list[int], first_year: int = 1343):
     return spark.createDataFrame(rows, "start date, hijri_year int, hijri_month int")
 
 
-@F.pandas_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in ("hijri_year", "hijri_month", "hijri_day")]))
-def tabular_hijri(day: pd.Series) -> pd.DataFrame:
-    """The arithmetic civil calendar (30-year cycle, leap years 2, 5, 7, 10, 13, 16, 18, 21, 24, 26, 29). It differs by a day or so from calendars that rest on sightings or tables."""
-    out = []
-    for d in day:
-        if d is None or d is pd.NaT:
-            out.append((None, None, None))
-            continue
-        n = d.toordinal() - date(622, 7, 19).toordinal()  # 1 Muharram 1, proleptic Gregorian
-        year = (30 * n + 10646) // 10631
-        start = 354 * (year - 1) + (3 + 11 * year) // 30
-        month = min(12, int((n - start) / 29.5 + 1))
-        first = start + (59 * (month - 1) + 1) // 2
-        if n < first:
-            month, first = month - 1, start + (59 * (month - 2) + 1) // 2
-        out.append((year, month, n - first + 1))
-    return pd.DataFrame(out, columns=["hijri_year", "hijri_month", "hijri_day"]).astype("Int32")
+def umm_al_qura(spark, first_year: int = 1343, last_year: int = 1500):
+    """The month table of the Umm al-Qura calendar, as the Java runtime ships it (1300 to 1600): a row a month, some two thousand in all."""
+    calendar = spark.sparkContext._jvm.java.time.chrono.HijrahDate
+    lengths, day = [], calendar.of(first_year, 1, 1)
+    start = date.fromordinal(date(1970, 1, 1).toordinal() + day.toEpochDay())
+    for year in range(first_year, last_year + 1):
+        lengths += [calendar.of(year, month, 1).lengthOfMonth() for month in range(1, 13)]
+    table = month_starts(spark, lengths, first_year)
+    return table.withColumn("start", F.date_add("start", (start - EPOCH).days))
+
+
+def tabular_hijri(day: Column) -> Column:
+    """(hijri_year, hijri_month, hijri_day) in the arithmetic civil calendar (30-year cycle, leap years 2, 5, 7, 10, 13, 16, 18, 21, 24, 26, 29), by whole numbers alone. It differs by a day or so from calendars that rest on sightings or tables."""
+    n = F.datediff(day, F.lit("0622-07-19").cast("date"))  # 1 Muharram 1, proleptic Gregorian
+    year = F.floor((30 * n + 10646) / 10631)
+    into = n - (354 * (year - 1) + F.floor((3 + 11 * year) / 30))
+    # months of 30 and 29 days by turns: month m begins after (59 * (m - 1) + 1) / 2 days
+    guess = F.least(F.lit(12), F.floor(into * 2 / 59) + 1)
+    month = F.when(into < F.floor((59 * (guess - 1) + 1) / 2), guess - 1).otherwise(guess)
+    month = F.when((month < 12) & (into >= F.floor((59 * month + 1) / 2)), month + 1).otherwise(month)
+    return F.struct(year.cast("int").alias("hijri_year"), month.cast("int").alias("hijri_month"), (into - F.floor((59 * (month - 1) + 1) / 2) + 1).cast("int").alias("hijri_day"))
 
 
 def to_hijri(days, months):

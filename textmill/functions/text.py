@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Callable, Iterator, Sequence
@@ -52,6 +53,16 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), 1)
 
 
+def counted(members: Column) -> Column:
+    """(member, k) of each distinct member of an array and how often it stands there, by sorting: n log n in a row, without a shuffle."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return once(starts, lambda at: F.transform(at, lambda b, j: F.struct(F.get(s, b).alias("member"), (F.coalesce(F.get(at, j + 1), F.size(s)) - b).alias("k"))))
+
+    return F.when(F.size(members) > 0, once(F.array_sort(members), runs))
+
+
 def shingles(tokens: Column, size: int = 3) -> Column:
     """Distinct n-grams of a token array, as strings; empty if there are fewer tokens."""
     grams = lambda t: F.transform(F.sequence(F.lit(1), F.size(t) - size + 1), lambda i: F.array_join(F.slice(t, i, size), " "))
@@ -133,21 +144,46 @@ def mattr_udf(tokens: pd.Series, window: pd.Series) -> pd.Series:
 ELIDED = frozenset("l d j m n s t c qu jusqu lorsqu puisqu quoiqu".split())
 WHOLE = frozenset("aujourd'hui quelqu'un quelqu'une".split())
 APOSTROPHES = str.maketrans({"’": "'", "ʼ": "'", "‘": "'", "`": "'", "´": "'"})
-WORD = re.compile(r"[^\W](?:\w|[̀-ͯ])*(?:'(?:\w|[̀-ͯ])+)*")
+#: Capital N or M before a capital: names such as N'Guessan, in which the apostrophe is no elision.
+NAME = re.compile(r"(?<!\w)[NM]'[^\W\d_a-zà-ÿ][^\W\d_]*")
+
+
+def _marks() -> str:
+    """All combining marks, of every script, as ranges for a character class."""
+    spans: list[list[int]] = []
+    for c in range(0x300, 0x110000):
+        if unicodedata.category(chr(c))[0] == "M":
+            if spans and spans[-1][1] == c - 1:
+                spans[-1][1] = c
+            else:
+                spans.append([c, c])
+    return "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in spans)
+
+
+@functools.cache
+def _word() -> re.Pattern:
+    inside = rf"(?:\w|[{_marks()}])"
+    return re.compile(rf"\w{inside}*(?:'(?=[^\W_]){inside}+)*")
 
 
 def cut_words(text: str | None, french: bool = True) -> list[str]:
-    """Words after NFC and straightened apostrophes; with French rules, an elided clitic is a word of its own, unless a name (N' or M' before a capital) or a fixed word holds it."""
+    """Lower-cased words after NFC and straightened apostrophes: runs of letters, digits and _, with the combining marks of any script inside; an apostrophe before a letter or digit is inside too. With French rules an elided clitic is a word of its own, unless a name (N' or M' before a capital) or a fixed word holds it."""
     if not text:
         return []
+    plain = unicodedata.normalize("NFC", text).translate(APOSTROPHES)
+    found = _word().findall(plain.lower())
+    if not french:
+        return found
+    names = {m.lower() for m in NAME.findall(plain)}
     out: list[str] = []
-    for m in WORD.finditer(unicodedata.normalize("NFC", text).translate(APOSTROPHES)):
-        w = m[0]
-        head, mark, tail = w.partition("'")
-        if french and mark and tail and w.lower() not in WHOLE and head.lower() in ELIDED and not (head in ("N", "M") and tail[0].isupper()):
-            out += [head + mark, *cut_words(tail, french)]
-        else:
-            out.append(w)
+    for w in found:
+        while w not in names and w not in WHOLE:
+            head, mark, tail = w.partition("'")
+            if not (mark and tail and head in ELIDED):
+                break
+            out.append(head + mark)
+            w = tail
+        out.append(w)
     return out
 
 

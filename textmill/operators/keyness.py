@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.functions.text import counted
 from textmill.functions.numbers import chi2_p, g2, log_ratio, log_ratio_error
 from textmill.operators.stats import benjamini_hochberg
 
@@ -24,11 +25,15 @@ def eligible(df: DataFrame, stages: Sequence[tuple[str, object]]) -> tuple[DataF
     return df.where(passed), df.agg(*counts, F.count_if(passed).alias("kept"))
 
 
-def slice_counts(df: DataFrame, slice_: str, tokens: str, doc: str, outlet: str | None = None) -> DataFrame:
-    """(slice, token, a, docs, outlets): occurrences, documents and outlets of a token in each slice. One shuffle by slice and token, combined on the map side first: a document's own counts are made before it."""
-    one = df.where(F.col(slice_).isNotNull() & (F.size(tokens) > 0)).select(F.col(slice_).alias("slice"), F.col(doc).alias("doc"), (F.col(outlet) if outlet else F.lit(None).cast("string")).alias("outlet"), F.explode(tokens).alias("token"))
-    per_doc = one.groupBy("slice", "token", "doc", "outlet").agg(F.count("*").alias("k"))
-    return per_doc.groupBy("slice", "token").agg(F.sum("k").alias("a"), F.count_distinct("doc").alias("docs"), F.count_distinct("outlet").alias("outlets"))
+def slice_counts(df: DataFrame, slice_: str, tokens: str, outlet: str | None = None) -> DataFrame:
+    """(slice, token, a, docs, outlets): occurrences, documents and outlets of a token in each slice; a row of df is a document.
+
+    A document's tokens are counted inside its row, so nothing is shuffled for it and documents need no distinct count. Two steps of sums follow, by outlet and over outlets, each combined on the map side.
+    """
+    rows = df.where(F.col(slice_).isNotNull() & (F.size(tokens) > 0))
+    one = rows.select(F.col(slice_).alias("slice"), (F.col(outlet) if outlet else F.lit(None).cast("string")).alias("outlet"), F.explode(counted(F.col(tokens))).alias("t"))
+    by_outlet = one.groupBy("slice", F.col("t.member").alias("token"), "outlet").agg(F.sum("t.k").alias("a"), F.count("*").alias("docs"))
+    return by_outlet.groupBy("slice", "token").agg(F.sum("a").alias("a"), F.sum("docs").alias("docs"), F.count("outlet").alias("outlets"))
 
 
 def keyness(counts: DataFrame, *, top: int = 25, min_count: int = 10, min_docs: int = 5, min_outlets: int = 2, alpha: float = 0.05) -> DataFrame:
@@ -54,6 +59,13 @@ def keyness(counts: DataFrame, *, top: int = 25, min_count: int = 10, min_docs:
 
 def viterbi_bursts(r: np.ndarray, d: np.ndarray, s: float = 2.0, gamma: float = 1.0) -> list[tuple[int, int, float]]:
     """(first, last, weight) of the intervals in which a two-state automaton emits r of d events at the raised rate. Entering the upper state costs gamma ln T, leaving is free; ties stay, and the last one goes to the base state."""
+    r, d = np.asarray(r, float), np.asarray(d, float)
+    if r.ndim != 1 or r.shape != d.shape:
+        raise ValueError("counts and exposure must be vectors of one length")
+    if not (np.isfinite(r).all() and np.isfinite(d).all()) or (r < 0).any() or (d < r).any():
+        raise ValueError("counts must be finite, and 0 <= counts <= exposure")
+    if s <= 1 or gamma < 0:
+        raise ValueError("s must be over 1 and gamma at least 0")
     n, hits, total = len(r), float(r.sum()), float(d.sum())
     if n < 2 or hits <= 0 or total <= 0:
         return []
@@ -93,18 +105,22 @@ def bursts(series: DataFrame, time: str, r: str, d: str, by: Sequence[str], *, m
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(time)
         hits, total, at = pdf[r].to_numpy(float), pdf[d].to_numpy(float), pdf[time].to_numpy()
+        if (np.diff(at) != 1).any():
+            raise ValueError("times must be a contiguous calendar")
         rows = [(*(pdf[c].iloc[0] for c in by), int(at[a]), int(at[b]), w, int(hits[a : b + 1].sum()), int(total[a : b + 1].sum())) for a, b, w in (viterbi_bursts(hits, total, s, gamma) if hits.sum() >= min_total else [])]
         return pd.DataFrame(rows, columns=[*by, "start", "end", "weight", "mentions", "exposure"])
 
     return series.groupBy(*by).applyInPandas(run, schema)
 
 
-def exposure(df: DataFrame, time: str, subjects: str, doc: str, *, tagged_only: bool = False) -> DataFrame:
-    """(time, subject, r, d): documents that bear a subject and documents at all, or tagged ones, on the contiguous calendar, zero-filled."""
+def exposure(df: DataFrame, time: str, subjects: str, doc: str, *, tagged_only: bool = False, min_total: int = 0) -> DataFrame:
+    """(time, subject, r, d): documents that bear a subject and documents at all, or tagged ones, on the contiguous calendar, zero-filled. min_total: subjects of fewer documents are left out before the calendar is filled, which is what a burst needs at least."""
     rows = df.where(F.col(time).isNotNull()).select(F.col(time).cast("long").alias("time"), F.col(doc).alias("doc"), F.array_distinct(subjects).alias("subjects"))
     base = rows.where(F.size("subjects") > 0) if tagged_only else rows
     d = base.groupBy("time").agg(F.count_distinct("doc").alias("d"))
     r = rows.select("time", "doc", F.explode("subjects").alias("subject")).groupBy("time", "subject").agg(F.count_distinct("doc").alias("r"))
+    if min_total:
+        r = r.join(r.groupBy("subject").agg(F.sum("r").alias("total")).where(F.col("total") >= min_total).select("subject"), "subject", "left_semi")
     ends = d.agg(F.min("time").alias("a"), F.max("time").alias("b")).where("a is not null")
     grid = ends.select(F.explode(F.sequence("a", "b")).alias("time")).crossJoin(r.select("subject").distinct())
     return grid.join(d, "time", "left").join(r, ["time", "subject"], "left").select("time", "subject", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("d", F.lit(0)).alias("d"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.hashing import stable_rank
+from textmill.operators.graphs import components
 
 
 def stratified(df: DataFrame, key: str, strata: Sequence[str], per: int = 3, seed: int = 42) -> DataFrame:
@@ -56,10 +57,19 @@ def directional(df: DataFrame, value: str, key: str, sign: int = 1, n: int = 5)
     return rows.orderBy(F.col(value).desc() if sign > 0 else F.col(value).asc(), key).limit(n)
 
 
-def hash_split(df: DataFrame, group: str, fraction: float, seed: int = 42) -> DataFrame:
-    """Adds held_out: round(n * fraction) of the groups, at least one and not all, by hash rank. Whole groups, so that no text stands on both sides."""
-    ranks = df.select(group).distinct().withColumn("__r", F.row_number().over(Window.orderBy(stable_rank(seed, F.col(group)), group)))
-    n = ranks.agg(F.count("*").alias("__n"))
-    take = F.greatest(F.lit(1), F.least(F.col("__n") - 1, F.round(F.col("__n") * fraction).cast("long")))
-    flags = ranks.crossJoin(F.broadcast(n)).select(group, (F.col("__r") <= take).alias("held_out"))
-    return df.join(flags, group)
+def hash_split(df: DataFrame, group: str, fraction: float, seed: int = 42, *, text: str | None = None) -> DataFrame:
+    """Adds held_out: round(n * fraction) of the groups, at least one and not all, by hash rank. Whole groups, null among them as one, so that no source stands on both sides; with text, groups that share an exact text are one group, so that no copy does either."""
+    name = F.coalesce(F.concat(F.lit("g"), F.col(group).cast("string")), F.lit("null"))
+    rows = df.withColumn("__g", name)
+    if text:
+        # a text joins its groups to the least of them; components of those links are the groups to be dealt out
+        links = rows.select("__g", F.sha2(F.coalesce(text, F.lit("")), 256).alias("h")).distinct()
+        first = links.groupBy("h").agg(F.min("__g").alias("a"), F.count("*").alias("n")).where("n > 1")
+        joined = components(links.join(first, "h").select("a", F.col("__g").alias("b")).where("a <> b").distinct())
+        rows = rows.join(joined.select(F.col("node").alias("__g"), F.col("component").alias("__c")), "__g", "left").withColumn("__g", F.coalesce("__c", "__g")).drop("__c")
+    ranks = rows.select("__g").distinct().withColumn("__h", stable_rank(seed, F.expr("if(__g = 'null', null, substring(__g, 2))")))
+    n = ranks.count()
+    take = max(1, min(n - 1, int(n * fraction + 0.5)))
+    # the limit keeps as many rows as are held out at most, and needs no window over all groups
+    chosen = ranks.orderBy(F.col("__h").asc_nulls_first(), "__g").limit(take).select("__g", F.lit(True).alias("held_out"))
+    return rows.join(chosen, "__g", "left").withColumn("held_out", F.coalesce("held_out", F.lit(False))).select(*df.columns, "held_out")

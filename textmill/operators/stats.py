@@ -34,12 +34,14 @@ def wls_slope(df: DataFrame, x: str, y: str, w: str, by: Sequence[str] = ()) ->
 def mann_kendall(df: DataFrame, time: str, value: str, by: Sequence[str] = ()) -> DataFrame:
     """(n, s, variance, z, p) of each series: trend by the signs of all differences, variance corrected for ties, two-sided p; null with fewer than four points or no variance."""
     keys = list(by)
-    a, b = df.select(*keys, F.col(time).alias("t1"), F.col(value).alias("v1")), df.select(*keys, F.col(time).alias("t2"), F.col(value).alias("v2"))
-    joined = a.join(b, keys) if keys else a.crossJoin(b)
-    s = joined.where("t1 < t2").groupBy(*keys).agg(F.sum(F.signum(F.col("v2") - F.col("v1"))).cast("long").alias("s"))
-    n = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    ties = df.groupBy(*keys, value).agg(F.count("*").alias("t")).groupBy(*keys).agg(F.sum(F.col("t") * (F.col("t") - 1) * (2 * F.col("t") + 5)).alias("ties"))
-    out = n.join(s, keys, "left").join(ties, keys) if keys else n.crossJoin(s).crossJoin(ties)
+    # a series is as long as its calendar: its points meet in one array, not in a self-join
+    points = F.collect_list(F.struct(F.col(time).alias("t"), F.col(value).cast("double").alias("v")))
+    series = df.groupBy(*keys).agg(F.count("*").alias("n"), points.alias("x"))
+    sign = lambda x, y: F.when(y["t"] > x["t"], F.coalesce(F.signum(y["v"] - x["v"]), F.lit(0.0))).otherwise(0.0)
+    total = F.aggregate("x", F.lit(0.0), lambda s, x: s + F.aggregate("x", F.lit(0.0), lambda r, y: r + sign(x, y)))
+    sizes = F.transform(F.array_distinct(F.transform("x", lambda p: p["v"])), lambda v: F.size(F.filter("x", lambda p: p["v"].eqNullSafe(v))))
+    ties = F.aggregate(sizes, F.lit(0).cast("long"), lambda s, t: s + (t * (t - 1) * (2 * t + 5)).cast("long"))
+    out = series.select(*keys, "n", total.cast("long").alias("s"), ties.alias("ties")).where("n > 0")
     k = F.col("n")
     variance = (k * (k - 1) * (2 * k + 5) - F.col("ties")) / 18
     out = out.withColumn("s", F.coalesce("s", F.lit(0))).withColumn("variance", variance)
@@ -86,18 +88,22 @@ def bootstrap_mean(df: DataFrame, value: str, key: str, by: Sequence[str], *, cl
     """(n, n_clusters, mean, low, high, status) of each group: percentile bootstrap over rows, or over whole clusters; under `least` clusters there is no interval. One seed a call, rows in the order of their keys."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema) + (", " if by else "") + "n long, n_clusters long, mean double, low double, high double, status string"
 
+    # rows of a cluster are summed before any group is gathered
+    unit = F.col(cluster) if cluster else F.col(key)
+    sums = df.where(F.col(value).isNotNull()).groupBy(*by, unit.alias("__unit")).agg(F.sum(F.col(value).cast("double")).alias("__sum"), F.count("*").alias("__n"))
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf[pdf[value].notna()].sort_values(key)
-        v = pdf[value].to_numpy(float)
-        groups = pd.factorize(pdf[cluster], sort=True)[0] if cluster else np.arange(len(v))
-        k = int(groups.max()) + 1 if len(groups) else 0
-        head = {c: [pdf[c].iloc[0] if len(pdf) else None] for c in by}
+        pdf = pdf.sort_values("__unit")
+        total, sizes = pdf["__sum"].to_numpy(float), pdf["__n"].to_numpy(np.int64)
+        k, n = len(pdf), int(sizes.sum())
+        head = {c: [pdf[c].iloc[0]] for c in by} | {"n": [n], "n_clusters": [k], "mean": [total.sum() / n]}
         if n_boot <= 0 or k < least:
-            return pd.DataFrame(head | {"n": [len(v)], "n_clusters": [k], "mean": [v.mean() if len(v) else None], "low": [None], "high": [None], "status": ["disabled" if n_boot <= 0 else "insufficient_clusters"]}).astype({"mean": float, "low": float, "high": float})
-        sums, sizes = np.bincount(groups, v, k), np.bincount(groups, minlength=k)
-        picks = np.random.default_rng(seed).integers(0, k, (n_boot, k))
-        means = sums[picks].sum(1) / sizes[picks].sum(1)
+            return pd.DataFrame(head | {"low": [np.nan], "high": [np.nan], "status": ["disabled" if n_boot <= 0 else "insufficient_clusters"]})
+        rng, means = np.random.default_rng(seed), np.empty(n_boot)
+        for i in range(n_boot):  # one draw at a time: memory grows with the clusters alone
+            picks = rng.integers(0, k, k)
+            means[i] = total[picks].sum() / sizes[picks].sum()
         a, b = np.percentile(means, [low, high])
-        return pd.DataFrame(head | {"n": [len(v)], "n_clusters": [k], "mean": [v.mean()], "low": [a], "high": [b], "status": ["ok"]})
+        return pd.DataFrame(head | {"low": [a], "high": [b], "status": ["ok"]})
 
-    return df.select(*dict.fromkeys([*by, value, key, *([cluster] if cluster else [])])).groupBy(*by).applyInPandas(run, schema)
+    return sums.groupBy(*by).applyInPandas(run, schema)

@@ -56,17 +56,17 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slice ORDER BY ci_low D
 
 @query(keyness_sql("lang", "source", 2))
 def keyness_lang(spark: SparkSession, sf: str) -> DataFrame:
-    return kn.keyness(kn.slice_counts(tokens(spark, sf), "lang", "tokens", "doc_id", "source"), min_outlets=2)
+    return kn.keyness(kn.slice_counts(tokens(spark, sf), "lang", "tokens", "source"), min_outlets=2)
 
 
 @query(keyness_sql("source", "lang", 1))
 def keyness_source(spark: SparkSession, sf: str) -> DataFrame:
-    return kn.keyness(kn.slice_counts(tokens(spark, sf), "source", "tokens", "doc_id", "lang"), min_outlets=1)
+    return kn.keyness(kn.slice_counts(tokens(spark, sf), "source", "tokens", "lang"), min_outlets=1)
 
 
 @query(f"SELECT lang AS slice, token, count(*) AS a, count(DISTINCT doc_id) AS docs, count(DISTINCT source) AS outlets FROM (SELECT doc_id, lang, source, unnest({TOKENS}) AS token FROM documents) GROUP BY 1, 2")
 def slice_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return kn.slice_counts(tokens(spark, sf), "lang", "tokens", "doc_id", "source")
+    return kn.slice_counts(tokens(spark, sf), "lang", "tokens", "source")
 
 
 @query("""
@@ -149,7 +149,7 @@ s AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM t) GROUP BY 1),
 p AS (SELECT a, b, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, p[1] AS a, p[2] AS b FROM (SELECT doc_id, unnest(list_zip(w[1:len(w) - 1], w[2:])) AS p FROM t WHERE len(w) > 1)) GROUP BY 1, 2 HAVING count(*) >= 5)
 SELECT a, b, p.n, docs, round((p.n - 5) * (SELECT count(*) FROM s) / (x.n * y.n), 6) AS score FROM p JOIN s x ON x.w = a JOIN s y ON y.w = b WHERE (p.n - 5) * (SELECT count(*) FROM s) / (x.n * y.n) > 1""")
 def phrases(spark: SparkSession, sf: str) -> DataFrame:
-    return tp.phrase_scores(tokens(spark, sf), "tokens", "doc_id", min_count=5, threshold=1.0).withColumn("score", F.round("score", 6))
+    return tp.phrase_scores(tokens(spark, sf), "tokens", min_count=5, threshold=1.0).withColumn("score", F.round("score", 6))
 
 
 @query()

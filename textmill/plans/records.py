@@ -292,12 +292,21 @@ def coordinate_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "events").select("event_id", c["lat"].alias("lat"), F.when(c["lng"] == 0, F.lit(-0.0)).otherwise(c["lng"]).alias("lng")).withColumn("lng", F.col("lng") + 0.0)
 
 
-@query()
+@query("""
+WITH n AS (SELECT o_orderkey, date_diff('day', DATE '0622-07-19', o_orderdate::DATE) AS n FROM orders), y AS (SELECT *, (30 * n + 10646) // 10631 AS y FROM n),
+i AS (SELECT *, n - (354 * (y - 1) + (3 + 11 * y) // 30) AS i FROM y),
+m AS (SELECT *, list_filter(range(1, 13), lambda m: (59 * (m - 1) + 1) // 2 <= i) AS ms FROM i)
+SELECT o_orderkey, y::INT AS y, len(ms)::INT AS m, (i - (59 * (len(ms) - 1) + 1) // 2 + 1)::INT AS d FROM m""")
 def hijri_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows only: the arithmetic civil calendar; tests hold it against worked dates."""
-    ship(spark)
-    h = dt.tabular_hijri(F.to_date("o_orderdate"))
-    return read(spark, sf, "orders").select("o_orderkey", h["hijri_year"].alias("y"), h["hijri_month"].alias("m"), h["hijri_day"].alias("d"))
+    """The arithmetic civil calendar."""
+    return read(spark, sf, "orders").select("o_orderkey", dt.tabular_hijri(F.to_date("o_orderdate")).alias("h")).select("o_orderkey", F.col("h.hijri_year").alias("y"), F.col("h.hijri_month").alias("m"), F.col("h.hijri_day").alias("d"))
+
+
+@query()
+def hijri_table_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows only: an as-of join with the Umm al-Qura months of the Java runtime; tests hold it against the runtime's own conversion."""
+    days = read(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return dt.to_hijri(days, dt.umm_al_qura(spark))
 
 
 @query("SELECT k, in_customer, in_supplier FROM (SELECT c_nationkey AS k, true AS in_customer FROM customer GROUP BY 1) FULL JOIN (SELECT s_nationkey AS k, true AS in_supplier FROM supplier GROUP BY 1) USING (k)")

@@ -84,15 +84,21 @@ def commit(tables: Mapping[str, DataFrame], path: str, key: str, *, expected: st
     if again != now:
         raise ContractError("another writer was faster")
     write_text(spark, f"{pointer}.{revision}", revision)
-    p, fs = hadoop_path(spark, f"{pointer}.{revision}")
-    target, _ = hadoop_path(spark, pointer)
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(p, target):
-        raise ContractError("the pointer could not be moved")
+    replace_file(spark, f"{pointer}.{revision}", pointer)
     return revision
 
 
+def replace_file(spark, source: str, target: str) -> None:
+    """Moves a file over another in one step: readers see the old one or the new one, and a crash leaves one of them."""
+    jvm = spark.sparkContext._jvm
+    p, fs = hadoop_path(spark, source)
+    t, _ = hadoop_path(spark, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(p).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(p), fs.makeQualified(t), options)
+
+
 def same_schema(a: T.StructType, b: T.StructType) -> bool:
     """Names and types in order; whether a field may be null is left aside."""
 
