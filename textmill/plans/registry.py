@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.plans import corpus, items, records, vectors
+from textmill.plans import corpus, enriched, items, records, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (corpus, records, vectors, items):
+for _module in (corpus, records, vectors, items, enriched):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= _module.ORACLE_SQL

@@ -27,10 +27,13 @@ def changed_only(rows: DataFrame, key: str, hash_: str) -> DataFrame:
         last = state.get[0] if state.exists else None
         first = last is None
         for b in batches:
+            new: list[tuple] = []
             for h in b[hash_]:
                 if h != last:
-                    yield pd.DataFrame({"key": [k[0]], "hash": [h], "first": [first]})
+                    new.append((k[0], h, first))
                     last, first = h, False
+            if new:
+                yield pd.DataFrame(new, columns=["key", "hash", "first"])
         if last is not None:
             state.update((last,))
 
