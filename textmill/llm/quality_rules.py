@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,8 @@ def n_repeat_words(w: Column) -> Column:
     Windows are compared by 64-bit hashes. Without a repeated window, as in most texts, one distinct count decides; else hash and place are sorted together and neighbours compared, so that the work stays n log n in one row.
     """
 
-    def windows(h: Column) -> Column:
-        return F.transform(F.slice(h, 1, F.greatest(F.size(h) - 2, F.lit(0))), lambda a, i: F.xxhash64(a, F.get(h, i + 1), F.get(h, i + 2)))
+    def windows(x: Column) -> Column:
+        return F.transform(F.slice(x, 1, F.greatest(F.size(x) - 2, F.lit(0))), lambda a, i: F.xxhash64(a, F.get(x, i + 1), F.get(x, i + 2)))
 
     def places(v: Column) -> Column:
         at = F.array_sort(F.transform(v, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
@@ -48,19 +50,28 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Marks that the rules on navigation, exclamations and symbols count.
+NAVIGATION, SYMBOLS = "|»›•·", "#*$%&|<>{}~^=+@\\"
+_CLASS = "[" + re.escape(NAVIGATION + SYMBOLS + "!") + "]"
+#: At most SHORT_LINE runs of anything but white space; it gives up after them.
+_SHORT = rf"^[{SPACE}]*+(?:[^{SPACE}]++[{SPACE}]++){{0,{SHORT_LINE - 1}}}+[^{SPACE}]*+$"
+
+
 def failing_line(line: Column) -> Column:
-    """True if a line's punctuation, navigation marks or boilerplate condemn it."""
+    """True if a line's punctuation, navigation marks or boilerplate condemn it. Cheap conditions that every failing line meets stand before dear ones, so plain prose is scanned few times."""
     n = F.size(F.split(F.trim(line), rf"[{SPACE}]+"))
     chars = F.length(line)
     rest = lambda marks: chars - F.length(F.translate(line, marks, ""))
-    letters = chars - F.length(F.regexp_replace(line, r"\p{L}+", ""))
     upper = chars - F.length(F.regexp_replace(line, r"\p{Lu}+", ""))
-    navigation = (rest("|»›•·") >= 3) & (rest("|»›•·") * 4 >= n)
-    shouting = (rest("!") * 4 >= n) & (rest("!") >= 3) | (letters >= 40) & (upper * 10 >= letters * 8)
-    symbols = rest("#*$%&|<>{}~^=+@\\") * 10 > chars
-    few_letters = (chars >= 20) & (letters * 2 < chars)
-    furniture = (n <= SHORT_LINE) & F.lower(line).rlike("|".join(BOILERPLATE))
-    return navigation | shouting | symbols | few_letters | furniture
+    navigation = let(rest(NAVIGATION), lambda k: (k >= 3) & (k * 4 >= n))
+    exclaims = let(rest("!"), lambda k: (k >= 3) & (k * 4 >= n))
+    marked = line.rlike(_CLASS) & (navigation | exclaims | (rest(SYMBOLS) * 10 > chars))
+    # four of five letters in capitals means four capitals in a row somewhere
+    loud = lambda letters: (letters >= 40) & line.rlike(r"(?:\p{Lu}\P{L}*+){4}") & (upper * 10 >= letters * 8)
+    letters = chars - F.length(F.regexp_replace(line, r"\p{L}+", ""))
+    lettered = (chars >= 20) & let(letters, lambda k: (k * 2 < chars) | loud(k))
+    furniture = line.rlike(_SHORT) & F.lower(line).rlike("|".join(BOILERPLATE)) & (n <= SHORT_LINE)
+    return marked | lettered | furniture
 
 
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_kept_words", "clean_text", "base_failed", "kept")
