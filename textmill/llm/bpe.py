@@ -17,11 +17,11 @@ import regex
 from pyspark.sql import DataFrame
 
 from textmill.llm.common import prepare
-from textmill.llm.pieces import PieceMemo, buffers, gather, grouped
+from textmill.llm.pieces import MEMO_BYTES, PieceMemo, buffers, gather, grouped
 
 NONE = np.int32(2**31 - 1)
 #: Cells of a matrix: bounds its memory.
-CELLS = 2_000_000
+CELLS = 1_000_000
 #: Bytes of a match from which a heap takes the place of a row.
 LONG = 512
 
@@ -40,7 +40,7 @@ class Bpe:
         self.pairs: dict[tuple[int, int], int] = {}
         self.pattern = regex.compile(pattern)
         self._table()
-        self.memo = PieceMemo(self.encode_pieces)
+        self.memo = PieceMemo(self.encode_pieces, most=MEMO_BYTES // 2)
 
     def _table(self) -> None:
         """The hash table of pairs: every way to cut a token in two that are tokens themselves. A power of two of slots, under a quarter full; linear probing."""

@@ -92,7 +92,7 @@ def word_hashes() -> WordHashes:
 class WordHashes(dict):
     """64-bit hashes of words, kept in a bounded memo."""
 
-    LIMIT = 200_000
+    LIMIT = 300_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.LIMIT:

@@ -21,9 +21,9 @@ from textmill.llm.common import discard, prepare, shingle_hashes, stored
 from textmill.llm.graph import connected_components
 
 #: n-grams that a fragment's task holds at once, about.
-FRAGMENT_NGRAMS = 2_000_000
+FRAGMENT_NGRAMS = 1_200_000
 #: n-grams that a reading task gathers before it sends them on.
-BUFFER_NGRAMS = 2_000_000
+BUFFER_NGRAMS = 1_500_000
 #: Classes in a chunk of a block.
 TILE = 1_500
 #: N-grams of the classes in a chunk of a block, about.
@@ -300,6 +300,8 @@ def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "t
     keys = stored(keys, "ngram-classes")
     prefixes = stored(prefix_ngrams(live, percent), "ngram-prefixes")
     first = prefixes.groupBy("ngram").agg(F.min("doc_id").alias("b"), F.count("*").alias("k")).where("k > 1")
+    # written, so that both sides of the join are plain reads: adaptive execution then splits an n-gram that very many documents have
+    first = stored(first.drop("k"), "ngram-firsts")
     blocks = connected_components(prefixes.join(first, "ngram").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"))
     # only one document of each class is compared; blocks of one class have no pairs
     firsts = keys.select(F.col("class_id").alias("doc_id"), "copies", F.col("n").alias("class_n"))
@@ -322,7 +324,7 @@ def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "t
         joined = connected_components(found.select(F.col("doc_id").alias("a"), F.col("root").alias("b")))
         links = links.join(joined.withColumnsRenamed({"node": "doc_id"}), "doc_id", "left").select("doc_id", "links", F.coalesce("component", "doc_id").alias("root"))
     per_class = stored(keys.drop("n").join(links.select(F.col("doc_id").alias("class_id"), "links", "root"), "class_id", "left"), "ngram-results")
-    discard(keys, prefixes, blocks, places, found)
+    discard(keys, prefixes, first, blocks, places, found)
     out = sets.select("doc_id", "n", "class_key").join(broadcast_if_small(per_class), "class_key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "class_id", "doc_id").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"), F.coalesce("class_id", "doc_id").alias("class_id"),

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are cut and encoded at once, unless one text alone has more.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 #: Bytes of pieces and ids that a memo holds, about, before it starts afresh with the pieces at hand.
 MEMO_BYTES = 64 << 20
 #: What a piece costs in a memo besides its bytes.
