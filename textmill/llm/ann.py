@@ -113,7 +113,7 @@ def first_edges(nodes: DataFrame, count: int, sample: np.ndarray, *, k: int, ord
     return dealt.sortWithinPartitions(*keys).mapInPandas(compare, "id long, ids binary, sims binary")
 
 
-def neighbour_graph(nodes: DataFrame, *, k: int = 24, orders: int = 5, rounds: int = 6, settled: float = 0.03, seed: int = 11) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, *, k: int = 32, orders: int = 5, rounds: int = 6, settled: float = 0.05, seed: int = 11) -> DataFrame:
     """nodes: id, v (32-bit unit vector). (id, ids, sims): about the k nearest of each node and minus their squared distances, nearest first, packed. Rounds of NN-descent end when less than `settled` of the entries are new; of up to CELL nodes the first edges are exact, and none is needed."""
     count = nodes.count()
     if count == 0:
@@ -189,7 +189,7 @@ def neighbour_graph(nodes: DataFrame, *, k: int = 24, orders: int = 5, rounds: i
     return graph if every is None else graph.unionByName(every.select("id", F.lit(b"").alias("ids"), F.lit(b"").alias("sims"), F.lit(b"").alias("fresh")))
 
 
-def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int = 192, width: int = 32, k: int = 24) -> DataFrame:
+def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, *, beam: int = 192, width: int = 32, k: int = 32) -> DataFrame:
     """queries: id of a node. (id, ids): the beam of each query after its greedy walk, nearest first, packed; the node itself is left out."""
     spark = nodes.sparkSession
     prepare(spark)
@@ -265,7 +265,7 @@ def usable(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embe
     return rows.where(F.size("e") == (size.n if size else -1))
 
 
-def nearest(vectors: DataFrame, *, every: int = 50, top: int = 5, k: int = 24, orders: int = 5, rounds: int = 6, beam: int = 192, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, *, every: int = 50, top: int = 5, k: int = 32, orders: int = 5, rounds: int = 6, beam: int = 192, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose vec_id is divisible by `every` its `top` nearest other rows by cosine.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null vec_id or of another size than most. Of fewer candidates all are returned. Ties go to the smaller vec_id; equal vectors, however many, are one node and give their smallest ids. Rows that repeat a vec_id with one vector count once; a vec_id with several vectors is as near as the nearest two of theirs. Other columns, whatever their names, are not read. An empty table gives none.
