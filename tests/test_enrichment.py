@@ -6,6 +6,7 @@ import json
 import threading
 import urllib.parse
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Row
@@ -206,6 +207,51 @@ def test_calibration_on_held_out_components(spark):
     pairs = spark.createDataFrame([(2 * i, 2 * i + 1, 0.9 + (i % 10) / 100, 0.8 if i % 10 >= 5 else 0.1) for i in range(200)], "a long, b long, score double, jaccard double")
     r = si.calibrate(pairs, [0.9, 0.92, 0.95, 0.97]).first()
     assert (r.prefilter, r.near_duplicate) == (0.95, 0.95) and r.held_out_recall == 1 and r.held_out_precision == 1
+    assert r.interval_status == "ok" and (r.held_out_recall_low, r.held_out_precision_low) == (1, 1)
+    off = si.calibrate(pairs, [0.9, 0.92, 0.95, 0.97], n_boot=0).first()
+    assert off.interval_status == "disabled" and off.held_out_recall_low is None
+
+
+def test_intervals_over_components_equal_drawing_them_one_by_one(spark):
+    rng = np.random.default_rng(1)
+    rows = [(c, float(s), bool(y)) for c in range(40) for s, y in zip(rng.random(rng.integers(1, 6)), rng.random(9) < 0.5)]
+    held = spark.createDataFrame(rows, "component int, score double, label boolean")
+    r = si.component_intervals(held, [0.5, None], n_boot=4000).first()
+    by = [[x for x in rows if x[0] == c] for c in range(40)]
+    draws = []
+    for _ in range(4000):
+        drawn = [x for c in rng.integers(0, 40, 40) for x in by[c]]
+        hit, chosen, positive = (sum(f(x) for x in drawn) for f in (lambda x: x[1] >= 0.5 and x[2], lambda x: x[1] >= 0.5, lambda x: x[2]))
+        draws.append((hit / chosen, hit / positive))
+    want = np.percentile(draws, [2.5, 97.5], axis=0).T.ravel()
+    assert (r.precision_low, r.precision_high, r.recall_low, r.recall_high) == pytest.approx(tuple(want), abs=0.02) and r.n_components == 40
+    few = si.component_intervals(held.where("component < 9"), [0.5]).first()
+    assert few.status == "insufficient_components" and few.recall_low is None
+    assert si.component_intervals(held.limit(0), [0.5]).first().n_components == 0
+
+
+def test_sliding_windows_and_coherence(spark):
+    docs = [("a b c a d e b".split(),), (["a", "b"],), ([],), (None,), (["x"] * 9 + ["a"],)]
+    df = spark.createDataFrame(docs, "t array<string>")
+    total, got = tp.window_counts(df, "t", ["a", "b", "c", "unseen"], size=3)
+    windows = [set(d[0][i : i + 3]) for d in docs if d[0] for i in range(max(1, len(d[0]) - 2))]
+    want = {(x, y): sum(x in w and y in w for w in windows) for x in "abc" for y in "abc" if x <= y}
+    assert total == len(windows) and got == {k: n for k, n in want.items() if n}
+    rows = [("sea ship sail wind".split() * 3 if i % 2 else "bread oven flour salt".split() * 3, f"g{i % 10}") for i in range(60)]
+    df = spark.createDataFrame(rows, "tokens array<string>, g string")
+    good, mixed, empty = tp.coherence_cv(df, "tokens", [["sea", "ship", "sail"], ["sea", "bread", "nowhere"], []])
+    assert good == pytest.approx(1, abs=1e-3) and mixed < 0.7 and empty is None
+
+
+def test_sweep_holds_groups_out_and_judges_the_gap(spark):
+    rows = [((["sea", "ship", "sail", f"n{i}"] if i % 2 else ["bread", "oven", "flour", f"n{i}"]) * 3, f"g{i % 10}") for i in range(80)]
+    df = spark.createDataFrame(rows, "tokens array<string>, g string")
+    reports = tp.sweep(df, "tokens", [2, 3], [1, 2], group="g", iterations=5)
+    assert {r["k"] for r in reports} == {2, 3} and all(r["log_perplexity"] > 0 and r["c_v_sd"] is not None for r in reports)
+    v = tp.sweep_verdict(reports)
+    assert v["best_k"] == reports[0]["k"] and v["distinguishable"] == (v["gap"] > v["seed_sd"])
+    one = tp.sweep_verdict([{"k": 4, "c_v": 0.5, "c_v_sd": None}, {"k": 3, "c_v": 0.5, "c_v_sd": None}])
+    assert (one["best_k"], one["runner_up_k"], one["distinguishable"]) == (3, 4, None)
 
 
 def test_checkpoints_and_reuse(spark, tmp_path):

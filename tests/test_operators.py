@@ -266,3 +266,59 @@ def test_lda_topics_runs_the_whole_vocabulary(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         corpus.lda_topics(spark, "/root/testdata/sf0.001")
     assert asked.get("vocab", 100_000) >= 100_000 and asked.get("iterations", 20) >= 20 and asked["k"] == 30
+
+
+@pytest.mark.parametrize(("n", "block"), [(1, 100), (2, 1), (60, 20), (60, 100)])
+def test_neighbours_equal_brute_force(spark, n, block):
+    """Strips of any size, text keys, ties of equal vectors, rows without a usable vector, a time window."""
+    rng = np.random.default_rng(n)
+    v = np.round(rng.normal(size=(n, 4)), 1) + 0.05
+    v[n // 2 :] = v[: n - n // 2]  # pairs of equal vectors
+    rows = [(f"k{i:03d}", [float(x) for x in v[i]], int(i % 9)) for i in range(n)] + [("nil", None, 1), ("zero", [0.0] * 4, 1)]
+    df = spark.createDataFrame(rows, "id string, e array<double>, t int")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    s = np.clip(unit @ unit.T, -1, 1)
+    for gap in (None, 2):
+        got = {}
+        for r in si.top_neighbours(df, "id", "e", k=3, block=block, time="t", max_gap=gap, threshold=0.0).collect():
+            got.setdefault(r.id, []).append((r["rank"], r.other, round(r.score, 9)))
+        for i in range(n):
+            near = [j for j in range(n) if j != i and s[i, j] >= 0 and (gap is None or abs(i % 9 - j % 9) <= gap)]
+            near = sorted(near, key=lambda j: (-round(s[i, j], 9), j))[:3]
+            mine = sorted(got.get(f"k{i:03d}", []))
+            assert [x[2] for x in mine] == [pytest.approx(s[i, j], abs=1e-8) for j in near]
+            assert [x[0] for x in mine] == list(range(1, len(near) + 1))
+    assert si.top_neighbours(df.limit(0), "id", "e", block=block).count() == 0
+
+
+def test_agreement_equals_pairing_all_ratings(spark):
+    """The closed forms against sums over all pairs, with large and fractional ratings."""
+    rng = np.random.default_rng(3)
+    rows = [(u, float(1e6 + x / 2)) for u in range(30) for x in rng.integers(0, 5, rng.integers(1, 5))]
+    df = spark.createDataFrame(rows, "u int, v double")
+    units = {}
+    for u, x in rows:
+        units.setdefault(u, []).append(x)
+    units = {u: x for u, x in units.items() if len(x) > 1}
+    flat = [x for xs in units.values() for x in xs]
+    below = {x: sum(y < x for y in flat) + sum(y == x for y in flat) / 2 for x in set(flat)}
+    for metric, d in (("nominal", lambda a, b: float(a != b)), ("interval", lambda a, b: (a - b) ** 2), ("ordinal", lambda a, b: (below[a] - below[b]) ** 2)):
+        observed = sum(sum(d(a, b) for a in xs for b in xs) / (len(xs) - 1) for xs in units.values())
+        expected = sum(d(a, b) for a in flat for b in flat)
+        r = ag.krippendorff(df, "u", "v", metric).first()
+        assert r.n == len(flat) and r.alpha == pytest.approx(1 - (len(flat) - 1) * observed / expected, rel=1e-6)
+    same = spark.createDataFrame([(1, 2.5), (1, 2.5)], "u int, v double")
+    assert all(ag.krippendorff(same, "u", "v", m).first().alpha is None for m in ("nominal", "interval", "ordinal"))
+    pairs = [(int(a), int(b), "g" if i % 3 else "h") for i, (a, b) in enumerate(rng.integers(1, 6, (60, 2)))]
+    for scale, d in ((None, lambda a, b: float(a != b)), ((1, 5), lambda a, b: ((a - b) / 4) ** 2)):
+        got = {r.g: r.kappa for r in ag.cohen_kappa(spark.createDataFrame(pairs, "a int, b int, g string"), "a", "b", by=["g"], scale=scale).collect()}
+        for g in "gh":
+            own = [(a, b) for a, b, k in pairs if k == g]
+            o, e = sum(d(a, b) for a, b in own), sum(d(a, b) for a, _ in own for _, b in own) / len(own)
+            assert got[g] == pytest.approx(1 - o / e)
+
+
+def test_components_raise_when_rounds_run_out(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a int, b int")
+    with pytest.raises(RuntimeError, match="settled"):
+        gr.components(chain, rounds=1)

@@ -44,38 +44,49 @@ def cohen_kappa(df: DataFrame, a: str, b: str, *, by: Sequence[str] = (), scale:
     """(n, kappa): agreement of two ratings beyond chance; with a scale (least, largest) disagreements weigh by their square. Null where chance leaves no disagreement."""
     keys = list(by)
     pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*keys, F.col(a).alias("x"), F.col(b).alias("y")).agg(F.count("*").alias("n"))
+    n = F.sum("n")
     if scale:
-        weight = lambda x, y: F.pow((x - y) / F.lit(float(scale[1] - scale[0])), 2)
+        # both sums of squares in closed form, so that ratings are never paired
+        sides = [(F.sum(F.col("n") * F.col(c).cast("double")), F.sum(F.col("n") * F.col(c).cast("double") * F.col(c).cast("double"))) for c in "xy"]
+        (sx, sxx), (sy, syy) = sides
+        gap = F.col("x").cast("double") - F.col("y").cast("double")
+        out = pairs.groupBy(*keys).agg(n.alias("n"), F.sum(gap * gap * F.col("n")).alias("o"), (n * (sxx + syy) - 2 * sx * sy).alias("e"))
     else:
-        weight = lambda x, y: F.when(x == y, 0.0).otherwise(1.0)
-    observed = pairs.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum(weight(F.col("x"), F.col("y")) * F.col("n")).alias("o"))
-    mx, my = pairs.groupBy(*keys, "x").agg(F.sum("n").alias("nx")), pairs.groupBy(*keys, "y").agg(F.sum("n").alias("ny"))
-    chance = (mx.join(my, keys) if keys else mx.crossJoin(my)).groupBy(*keys).agg(F.sum(weight(F.col("x"), F.col("y")) * F.col("nx") * F.col("ny")).alias("e"))
-    out = observed.join(chance, keys) if keys else observed.crossJoin(chance)
+        observed = pairs.groupBy(*keys).agg(n.alias("n"), F.sum(F.when(F.col("x") == F.col("y"), 0).otherwise(F.col("n"))).cast("double").alias("o"))
+        same = [pairs.groupBy(*keys, F.col(c).alias("v")).agg(F.sum("n").alias(f"n{c}")) for c in "xy"]
+        same = same[0].join(same[1], [*keys, "v"]).groupBy(*keys).agg(F.sum(F.col("nx").cast("double") * F.col("ny")).alias("s"))
+        # without keys both sides of the product are one row
+        out = (observed.join(same, keys, "left") if keys else observed.crossJoin(same)).withColumn("e", F.col("n").cast("double") * F.col("n") - F.coalesce("s", F.lit(0.0)))
     return out.select(*keys, "n", F.when(F.col("e") > 0, 1 - F.col("o") * F.col("n") / F.col("e")).alias("kappa"))
 
 
 def krippendorff(df: DataFrame, unit: str, rating: str, metric: str = "interval") -> DataFrame:
-    """(n, alpha) of ratings in long form, for nominal, ordinal or interval differences; units with one rating take no part. Values are few, so the coincidence table is small; null where no difference is expected."""
+    """(n, alpha) of ratings in long form, for nominal, ordinal or interval differences; units with one rating take no part. Null where no difference is expected.
+
+    Differences of a unit's ratings, and of all ratings, are sums of squares in closed form, so ratings are never paired. Ordinal differences are those of mid-ranks; their ranks run over the distinct ratings alone, a scale's few steps.
+    """
     rows = df.where(F.col(rating).isNotNull()).select(F.col(unit).alias("u"), F.col(rating).cast("double").alias("v"))
     cells = rows.groupBy("u", "v").agg(F.count("*").alias("k"))
     cells = cells.withColumn("m", F.sum("k").over(Window.partitionBy("u"))).where("m > 1")
-    left, right = cells.select("u", "m", F.col("v").alias("c"), F.col("k").alias("kc")), cells.select("u", F.col("v").alias("d"), F.col("k").alias("kd"))
-    table = left.join(right, "u").groupBy("c", "d").agg(F.sum(F.when(F.col("c") == F.col("d"), F.col("kc") * (F.col("kc") - 1)).otherwise(F.col("kc") * F.col("kd")) / (F.col("m") - 1)).alias("o"))
     values = cells.groupBy("v").agg(F.sum("k").alias("n"))
-    values = values.withColumn("upto", F.sum("n").over(Window.orderBy("v"))).withColumn("all", F.sum("n").over(Window.partitionBy()))
-    grid = values.select(F.col("v").alias("c"), F.col("n").alias("nc"), F.col("upto").alias("uc"), "all").crossJoin(values.select(F.col("v").alias("d"), F.col("n").alias("nd"), F.col("upto").alias("ud")))
-    c, d = F.col("c"), F.col("d")
+    k, x, m = F.col("k"), F.col("x"), F.col("m")
     if metric == "nominal":
-        delta = F.when(c == d, 0.0).otherwise(1.0)
-    elif metric == "interval":
-        delta = (c - d) * (c - d)
+        units = cells.groupBy("u", "m").agg(F.sum(k * k).alias("q"))
+        within = units.agg(F.sum((m * m - F.col("q")) / (m - 1)).alias("do"))
+        expected = values.agg(F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("q")).select("n", (F.col("n").cast("double") * F.col("n") - F.col("q")).alias("de"))
     else:
-        between = F.greatest("uc", "ud") - F.when(F.col("uc") < F.col("ud"), F.col("uc") - F.col("nc")).otherwise(F.col("ud") - F.col("nd"))
-        delta = F.when(c == d, 0.0).otherwise(F.pow(between - (F.col("nc") + F.col("nd")) / 2, 2))
-    full = grid.join(table, ["c", "d"], "left").withColumn("delta", delta)
-    sums = full.agg(F.max("all").alias("n"), F.sum(F.coalesce("o", F.lit(0.0)) * F.col("delta")).alias("do"), F.sum(F.col("nc") * F.col("nd") * F.col("delta")).alias("de"))
-    return sums.select("n", F.when((F.col("n") > 1) & (F.col("de") > 0), 1 - (F.col("n") - 1) * F.col("do") / F.col("de")).alias("alpha"))
+        if metric == "ordinal":
+            ranks = values.select("v", (F.sum("n").over(Window.orderBy("v")) - F.col("n") / 2).alias("x"))
+            placed = cells.join(ranks, "v")
+        else:
+            # around the mean, so that large ratings lose no digits
+            placed = cells.crossJoin(cells.agg((F.sum(k * F.col("v")) / F.sum("k")).alias("mean"))).withColumn("x", F.col("v") - F.col("mean"))
+        units = placed.groupBy("u", "m").agg(F.sum(k * x).alias("s"), F.sum(k * x * x).alias("q"))
+        within = units.agg(F.sum(2 * (m * F.col("q") - F.col("s") * F.col("s")) / (m - 1)).alias("do"))
+        expected = units.agg(F.sum("m").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).select("n", (2 * (F.col("n") * F.col("q") - F.col("s") * F.col("s"))).alias("de"))
+    # what is left of equal ratings is rounding
+    real = F.col("de") > 1e-9 * F.col("n")
+    return expected.crossJoin(within).select("n", F.when((F.col("n") > 1) & real, 1 - (F.col("n") - 1) * F.col("do") / F.col("de")).alias("alpha"))
 
 
 def summarize_cells(df: DataFrame, by: Sequence[str], consensus: str, labels: Sequence[str], *, label_column: str | None = None, score: str | None = None) -> DataFrame:

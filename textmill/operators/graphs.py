@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.hashing import half
 from textmill.functions.numbers import pmi
+from textmill.session import checkpoint_folder
 
 
 def members(df: DataFrame, doc: str, entities: str) -> DataFrame:
@@ -35,6 +36,12 @@ def network(df: DataFrame, doc: str, entities: str, *, min_node: int = 10, min_e
     return edges.select("source", "target", "co", F.round("weight", 6).alias("weight"), F.round(pmi(F.col("co"), F.col("n_source"), F.col("n_target"), F.col("tagged")), 3).alias("pmi"), "n_source", "n_target")
 
 
+def network_nodes(df: DataFrame, doc: str, entities: str, year: str, *, min_node: int = 10) -> DataFrame:
+    """(node, docs, first_year, last_year) of entities that min_node documents hold; documents without a year count and bound nothing."""
+    rows = df.select(F.col(year).cast("int").alias("y"), F.explode(F.array_compact(F.array_distinct(entities))).alias("node"))
+    return rows.groupBy("node").agg(F.count("*").alias("docs"), F.min("y").alias("first_year"), F.max("y").alias("last_year")).where(F.col("docs") >= min_node)
+
+
 def weighted_degree(edges: DataFrame, weight: str = "weight") -> DataFrame:
     """(node, degree, strength) from edges (source, target, weight)."""
     both = edges.select(F.col("source").alias("node"), F.col(weight).alias("w")).unionAll(edges.select(F.col("target").alias("node"), F.col(weight).alias("w")))
@@ -42,12 +49,8 @@ def weighted_degree(edges: DataFrame, weight: str = "weight") -> DataFrame:
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
-    """(node, component): the smallest node that each one reaches. Rounds of pointer halving; each is checkpointed, so plans stay short and nothing is collected."""
-    spark = edges.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    """(node, component): the smallest node that each one reaches. Rounds of pointer halving; each is checkpointed, so plans stay short and nothing is collected; more than `rounds` raise an error."""
+    checkpoint_folder(edges.sparkSession)
     e = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     e = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     label = e.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("l")).withColumnRenamed("a", "node").checkpoint()
@@ -59,6 +62,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         label = jump.select("node", "l")
         if not moved:
             break
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return label.withColumnRenamed("l", "component")
 
 

@@ -42,7 +42,7 @@ def keyness(counts: DataFrame, *, top: int = 25, min_count: int = 10, min_docs:
     totals = counts.groupBy("slice").agg(F.sum("a").alias("ta"))
     grand = totals.agg(F.sum("ta").alias("all"))
     sized = totals.crossJoin(F.broadcast(grand)).withColumn("tb", F.col("all") - F.col("ta")).where("ta > 0 and tb > 0").drop("all")
-    rows = counts.withColumn("b", F.sum("a").over(token) - F.col("a")).join(F.broadcast(sized), "slice")
+    rows = counts.withColumn("b", F.sum("a").over(token) - F.col("a")).join(sized, "slice")
     rows = rows.where((F.col("a") >= min_count) & (F.col("docs") >= min_docs) & (F.col("outlets") >= min_outlets))
     a, b, ta, tb = (F.col(x) for x in ("a", "b", "ta", "tb"))
     rows = rows.withColumn("g2", g2(a, b, ta, tb)).withColumn("p", chi2_p(F.abs("g2")))
@@ -122,5 +122,6 @@ def exposure(df: DataFrame, time: str, subjects: str, doc: str, *, tagged_only:
     if min_total:
         r = r.join(r.groupBy("subject").agg(F.sum("r").alias("total")).where(F.col("total") >= min_total).select("subject"), "subject", "left_semi")
     ends = d.agg(F.min("time").alias("a"), F.max("time").alias("b")).where("a is not null")
-    grid = ends.select(F.explode(F.sequence("a", "b")).alias("time")).crossJoin(r.select("subject").distinct())
+    # the product's one side is a single row, the calendar's ends
+    grid = r.select("subject").distinct().crossJoin(F.broadcast(ends)).select("subject", F.explode(F.sequence("a", "b")).alias("time"))
     return grid.join(d, "time", "left").join(r, ["time", "subject"], "left").select("time", "subject", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("d", F.lit(0)).alias("d"))

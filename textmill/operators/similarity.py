@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -12,53 +13,81 @@ from pyspark.sql import functions as F
 from textmill.functions.numbers import valid_vector
 from textmill.functions.text import jaccard
 from textmill.operators.graphs import component_halves, components
-
-#: Rows of a block of the exact comparison.
-BLOCK = 2_048
-
-
-def blocks_of(df: DataFrame, key: str, vector: str, extra: Sequence[str] = (), block: int = BLOCK) -> tuple[DataFrame, int]:
-    """(table with a block number, number of blocks): rows are dealt out by a hash of their keys."""
-    n = df.count()
-    count = max(1, -(-n // block))
-    return df.select(F.col(key).alias("id"), F.col(vector).alias("v"), *extra).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")), count
+from textmill.session import ship
+
+#: Rows of a strip of the exact comparison at most, and their bytes as doubles.
+BLOCK, STRIP_BYTES = 16_384, 64 << 20
+#: Rows under which a strip is not cut any further for the sake of idle cores.
+LEAST = 1_024
+#: Cells of a matrix of cosines at once.
+CELLS = 4_000_000
+
+
+def strips_of(df: DataFrame, key: str, vector: str, extra: Sequence[str] = (), block: int = BLOCK) -> tuple[DataFrame, int]:
+    """(table with a strip number, number of strips): rows are dealt out by a hash of their keys."""
+    n, width = df.agg(F.count("*"), F.coalesce(F.max(F.size(vector)), F.lit(1))).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    rows = max(1, min(block, STRIP_BYTES // (8 * max(1, width))))
+    # strips make pairs: twice the cores are busy with about the square root of four times their number
+    count = max(1, -(-n // rows), min(-(-n // LEAST), math.ceil(math.sqrt(4 * cores))))
+    return df.select(F.col(key).alias("id"), F.col(vector).alias("v"), *extra).withColumn("strip", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")), count
+
+
+def best_of(x: np.ndarray, y: np.ndarray, k: int, refuse=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, cosine) of the k rows of y nearest to each row of x, ties to the smaller row; refuse(scores, first, last) takes pairs out of the scores of x[first:last]."""
+    found, n = [], min(k, len(y))
+    step = max(1, CELLS // max(1, len(y)))
+    for first in range(0, len(x), step):
+        s = np.clip(x[first : first + step] @ y.T, -1, 1)
+        if refuse:
+            refuse(s, first, first + len(s))
+        edge = np.partition(s, s.shape[1] - n, axis=1)[:, s.shape[1] - n]
+        i, j = np.nonzero((s >= edge[:, None]) & (s > -np.inf))  # all that tie with the last
+        order = np.lexsort((j, -s[i, j], i))
+        i, j = i[order], j[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        i, j = i[place < n], j[place < n]
+        found.append((i + first, j, s[i, j]))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
 def top_neighbours(df: DataFrame, key: str, vector: str, *, k: int = 10, threshold: float | None = None, block: int = BLOCK, time: str | None = None, max_gap: int | None = None) -> DataFrame:
     """(id, other, score, rank): the k nearest other rows by exact cosine, ties to the smaller key; with a threshold only those at or above it; with max_gap only those at most so far in time.
 
-    Every block is compared with every other by one matrix product a task. A task keeps k rows for each of its queries, so what is shuffled grows with rows times blocks, not with pairs. Rows without a usable vector are left out.
+    Rows are dealt into strips, and each pair of strips meets in one task, which searches both ways. A row goes to as many tasks as there are strips, and a task keeps k rows for each of its rows, so what is shuffled grows with rows times strips, not with pairs. Rows without a usable vector are left out.
     """
+    ship(df.sparkSession)  # executors find best_of by name
     extra = [F.col(time).cast("double").alias("t")] if time else []
     good = df.where(valid_vector(F.col(vector)))
-    rows, count = blocks_of(good, key, vector, extra, block)
+    rows, count = strips_of(good, key, vector, extra, block)
     kind = dict(rows.dtypes)["id"]
-    queries = rows.withColumn("other_block", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumn("side", F.lit(0))
-    pool = rows.withColumn("own_block", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumn("side", F.lit(1))
-    tasks = queries.select(F.col("block").alias("a"), F.col("other_block").alias("b"), "side", "id", "v", *(["t"] if time else [])).unionByName(pool.select(F.col("own_block").alias("a"), F.col("block").alias("b"), "side", "id", "v", *(["t"] if time else [])))
+    copies = rows.withColumn("mate", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    tasks = copies.select(F.least("strip", "mate").alias("a"), F.greatest("strip", "mate").alias("b"), "strip", "id", "v", *(["t"] if time else []))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf[pdf.side == 0].sort_values("id"), pdf[pdf.side == 1].sort_values("id")
-        if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "other": [], "score": []})
-        x, y = (np.array(p.v.tolist(), np.float64) for p in (left, right))
-        x, y = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (x, y))
-        s = np.clip(x @ y.T, -1, 1)
-        a, b = left.id.to_numpy(), right.id.to_numpy()
-        s[a[:, None] == b[None, :]] = -np.inf
-        if threshold is not None:
-            s[s < threshold] = -np.inf
-        if time and max_gap is not None:
-            gap = np.abs(left.t.to_numpy()[:, None] - right.t.to_numpy()[None, :])
-            s[~(gap <= max_gap)] = -np.inf
-        n = min(k, s.shape[1])
+        sides = []
+        for _, part in pdf.groupby("strip"):
+            part = part.sort_values("id")
+            v = np.stack(part.v.to_numpy()).astype(np.float64)
+            sides.append((part.id.to_numpy(), v / np.linalg.norm(v, axis=1, keepdims=True), part.t.to_numpy() if time else None))
+        inside = pdf.a.iloc[0] == pdf.b.iloc[0]
+        # both ways, unless one of the two strips is empty
+        ways = [(0, 0)] if inside else [(0, 1), (1, 0)] if len(sides) == 2 else []
         out = []
-        for i in range(len(a)):
-            edge = np.partition(s[i], s.shape[1] - n)[s.shape[1] - n]
-            at = np.flatnonzero((s[i] >= edge) & (s[i] > -np.inf))  # all that tie with the last
-            at = at[np.lexsort((at, -s[i, at]))][:n]
-            out.append(pd.DataFrame({"id": a[i], "other": b[at], "score": s[i, at]}))
-        return pd.concat(out)
+        for mine, theirs in ways:
+            (own, x, t), (other, y, u) = sides[mine], sides[theirs]
+
+            def refuse(s, first, last, own=own, other=other, t=t, u=u):
+                if inside:
+                    s[own[first:last, None] == other[None, :]] = -np.inf
+                if threshold is not None:
+                    s[s < threshold] = -np.inf
+                if time and max_gap is not None:
+                    s[~(np.abs(t[first:last, None] - u[None, :]) <= max_gap)] = -np.inf
+
+            i, j, score = best_of(x, y, k, refuse)
+            out.append(pd.DataFrame({"id": own[i], "other": other[j], "score": score}))
+        return pd.concat(out) if out else pd.DataFrame({"id": [], "other": [], "score": []})
 
     found = tasks.groupBy("a", "b").applyInPandas(run, f"id {kind}, other {kind}, score double")
     order = Window.partitionBy("id").orderBy(F.col("score").desc(), "other")
@@ -105,15 +134,46 @@ def choose_thresholds(curve: DataFrame, *, target_recall: float = 0.98, target_p
     return c.agg(F.max(F.when(F.col("recall") >= target_recall, F.col("threshold"))).alias("prefilter"), F.min(F.when((fail == 0) & enough & (F.col("__fails") == 0), F.col("threshold"))).alias("near_duplicate"))
 
 
-def calibrate(pairs: DataFrame, grid: Sequence[float], *, label_jaccard: float = 0.45, target_recall: float = 0.98, target_precision: float = 0.9, min_selected: int = 20, seed: int = 42) -> DataFrame:
-    """Thresholds chosen on one half of the components of the pairs (a, b, score, jaccard) and rated on the other: one row with the thresholds and their held-out precision and recall."""
+def component_intervals(held: DataFrame, thresholds: Sequence[float], *, n_boot: int = 1000, seed: int = 42, least: int = 10) -> DataFrame:
+    """(threshold, n_components, status, precision_low, precision_high, recall_low, recall_high): 95 % percentile intervals of pairs (component, score, label) over whole components, drawn with replacement; null under `least` components, or with n_boot 0.
+
+    Components of equal counts are alike to a draw, so a draw is one multinomial over the distinct counts: only these, few as they are, meet in a task. One seed a threshold.
+    """
+    spark = held.sparkSession
+    wanted = [(float(x),) for x in thresholds if x is not None]
+    chosen, right = F.col("score") >= F.col("threshold"), F.col("label")
+    rows = held.select("component", "score", "label", F.explode(F.array(*(F.lit(x[0]) for x in wanted))).alias("threshold")) if wanted else held.select("component", "score", "label", F.lit(None).cast("double").alias("threshold")).limit(0)
+    sums = rows.groupBy("threshold", "component").agg(F.count_if(chosen).alias("s"), F.count_if(chosen & right).alias("h"), F.count_if(right).alias("p"))
+    alike = sums.groupBy("threshold", "s", "h", "p").agg(F.count("*").alias("n"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["s", "h", "p"])
+        n = pdf.n.to_numpy(np.int64)
+        k = int(n.sum())
+        row = {"threshold": pdf.threshold.iloc[0], "n_components": k, "status": "disabled" if n_boot <= 0 else "insufficient_components" if k < least else "ok"}
+        if row["status"] == "ok":
+            draws = np.random.default_rng(seed).multinomial(k, n / k, n_boot)
+            s, h, p = (draws @ pdf[c].to_numpy(np.float64) for c in "shp")
+            for name, below in (("precision", s), ("recall", p)):
+                x = h[below > 0] / below[below > 0]
+                row[f"{name}_low"], row[f"{name}_high"] = np.percentile(x, [2.5, 97.5]) if len(x) else (None, None)
+        return pd.DataFrame([row], columns=["threshold", "n_components", "status", "precision_low", "precision_high", "recall_low", "recall_high"])
+
+    got = alike.groupBy("threshold").applyInPandas(run, "threshold double, n_components long, status string, precision_low double, precision_high double, recall_low double, recall_high double")
+    return spark.createDataFrame(wanted, "threshold double").distinct().join(got, "threshold", "left").withColumn("status", F.coalesce("status", F.lit("insufficient_components"))).withColumn("n_components", F.coalesce("n_components", F.lit(0)))
+
+
+def calibrate(pairs: DataFrame, grid: Sequence[float], *, label_jaccard: float = 0.45, target_recall: float = 0.98, target_precision: float = 0.9, min_selected: int = 20, seed: int = 42, n_boot: int = 1000) -> DataFrame:
+    """Thresholds chosen on one half of the components of the pairs (a, b, score, jaccard) and rated on the other: one row with the thresholds, their held-out recall and precision, and the bounds of 95 % intervals over held-out components."""
     labelled = pairs.withColumn("label", F.col("jaccard") >= label_jaccard)
     halves = component_halves(components(labelled), seed)
-    split = labelled.join(halves.select(F.col("node").alias("a"), "half"), "a")
+    split = labelled.join(halves.select(F.col("node").alias("a"), "component", "half"), "a")
     chosen = choose_thresholds(threshold_curve(split.where("half = 0"), "score", "label", grid), target_recall=target_recall, target_precision=target_precision, min_selected=min_selected)
-    held = threshold_curve(split.where("half = 1"), "score", "label", grid)
-    pre = held.select(F.col("threshold").alias("prefilter"), F.col("recall").alias("held_out_recall"))
-    near = held.select(F.col("threshold").alias("near_duplicate"), F.col("precision").alias("held_out_precision"))
+    held = split.where("half = 1")
+    rated = threshold_curve(held, "score", "label", grid)
+    spread = component_intervals(held, list(chosen.first()), n_boot=n_boot, seed=seed)
+    pre = rated.join(spread, "threshold").select(F.col("threshold").alias("prefilter"), F.col("recall").alias("held_out_recall"), F.col("recall_low").alias("held_out_recall_low"), F.col("recall_high").alias("held_out_recall_high"), F.col("n_components").alias("held_out_components"), F.col("status").alias("interval_status"))
+    near = rated.join(spread, "threshold").select(F.col("threshold").alias("near_duplicate"), F.col("precision").alias("held_out_precision"), F.col("precision_low").alias("held_out_precision_low"), F.col("precision_high").alias("held_out_precision_high"))
     return chosen.join(pre, "prefilter", "left").join(near, "near_duplicate", "left")
 
 

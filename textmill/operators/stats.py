@@ -70,7 +70,9 @@ def contiguous(df: DataFrame, time: str, by: Sequence[str] = ()) -> DataFrame:
 
 def zero_filled(counts: DataFrame, time: str, values: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Counts on the contiguous calendar that all groups share, 0 where a group has none."""
-    calendar = contiguous(counts, time).crossJoin(F.broadcast(counts.select(*by).distinct())) if by else contiguous(counts, time)
+    ends = counts.agg(F.min(time).alias("__a"), F.max(time).alias("__b")).where("__a is not null")
+    # the product's one side is a single row, the calendar's ends
+    calendar = counts.select(*by).distinct().crossJoin(F.broadcast(ends)).select(*by, F.explode(F.sequence("__a", "__b")).alias(time)) if by else contiguous(counts, time)
     return calendar.join(counts, [time, *by], "left").select(time, *by, *(F.coalesce(v, F.lit(0)).alias(v) for v in values))
 
 

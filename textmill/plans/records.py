@@ -82,6 +82,12 @@ def cooccurrence_pmi(spark: SparkSession, sf: str) -> DataFrame:
     return gr.network(brands(spark, sf), "l_orderkey", "es")
 
 
+@query("SELECT e AS node, count(*) AS docs, min(y)::INT AS first_year, max(y)::INT AS last_year FROM (SELECT DISTINCT p_brand AS e, o_orderkey, year(o_orderdate) AS y FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey) GROUP BY 1 HAVING count(*) >= 10")
+def network_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    orders = read(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("y"))
+    return gr.network_nodes(brands(spark, sf).join(orders, "l_orderkey"), "l_orderkey", "es", "y")
+
+
 @query(COOC + "SELECT node, count(*) AS degree, round(sum(co)::DOUBLE, 6) AS strength FROM (SELECT source AS node, co FROM k UNION ALL SELECT target, co FROM k) GROUP BY 1")
 def node_strength(spark: SparkSession, sf: str) -> DataFrame:
     return gr.weighted_degree(gr.network(brands(spark, sf), "l_orderkey", "es"), "co").withColumn("strength", F.round(F.col("strength").cast("double"), 6))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -18,6 +19,16 @@ def session(app: str = "textmill", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Sees to a folder for checkpoints that executors share: spark.checkpoint.dir, a temporary one in a local session where that is unset; any other session is refused."""
+    if spark.sparkContext.getCheckpointDir() is not None:
+        return
+    shared, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not shared and not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir is not set: with master {master} it must name a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+
+
 def ship(spark: SparkSession) -> None:
     """Gives executors this package, once a context: Python functions in plans refer to its modules by name."""
     sc = spark.sparkContext
