@@ -176,7 +176,7 @@ def test_neighbours_tie_by_rounded_scores(spark, tmp_path):
     assert len(exact) == len(tied) == 1120 and set(exact) != set(tied)
     duck = duckdb.connect()
     duck.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
-    for name in ("knn_topk", "pair_evaluation", "published_neighbours", "theta_pairs"):
+    for name in ("knn_topk", "pair_evaluation", "published_neighbours", "theta_pairs", "threshold_curve"):
         sql = duck.sql(vectors.ORACLE_SQL[name])
         got = vectors.QUERIES[name](spark, str(tmp_path)).select(*sql.columns).collect()
         assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, sql.fetchall())), name
