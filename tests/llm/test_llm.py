@@ -594,3 +594,41 @@ def test_pipeline(spark):
     expect = brute_bpe(texts)
     assert Counter(r.doc_id for r in final) == Counter({k: v for k, v in want.items() if v})
     assert all((r.n_tokens, r.ids_sha256, r.decoded_sha256) == expect[r.doc_id] for r in final)
+
+
+def test_bpe_memory_of_a_large_batch():
+    """Arrays over 12 MB of text in one batch stay small, and memos go when a worker is done."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+    import public_tokenizers
+
+    from textmill.llm import bpe, common, quality_classifier
+
+    held = []
+    docs = SimpleNamespace(sparkSession=None, selectExpr=lambda *a: SimpleNamespace(mapInArrow=lambda f, schema: held.append(f)))
+    prepare, bpe.prepare = bpe.prepare, lambda spark: None
+    try:
+        bpe.encode_decode(docs, ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN)
+    finally:
+        bpe.prepare = prepare
+    rng = np.random.default_rng(0)
+    words = np.array(["the", "river", "was", "cold", "snowfall", "a", "of", "meanings", "zqxv"])
+    texts = [" ".join(words[rng.integers(0, len(words), 20_000)]) for _ in range(120)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    first = list(held[0](iter([batch.slice(0, 1)])))  # the model is loaded
+    tracemalloc.start()
+    out = list(held[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in out) == 120 and all(all(b.column("exact").to_pylist()) for b in out)
+    assert out[0].slice(0, 1).to_pylist() == first[0].to_pylist()
+    assert sum(map(len, texts)) > 11_000_000 and peak < 100e6, peak
+    common.shingle_hashes("one two three", 2)
+    quality_classifier._SHAPES["Abc"]
+    assert common.word_hashes() and quality_classifier._SHAPES
+    assert list(common.resting(iter, "shapes")([1, 2])) == [1, 2]
+    assert not common.word_hashes() and quality_classifier._SHAPES
+    assert common.resting_group(len)([1]) == 1 and not quality_classifier._SHAPES

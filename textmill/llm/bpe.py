@@ -16,12 +16,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from textmill.llm.common import prepare
+from textmill.llm.common import prepare, resting
 from textmill.llm.pieces import MEMO_BYTES, PieceMemo, buffers, gather, grouped
 
 NONE = np.int32(2**31 - 1)
 #: Cells of a matrix: bounds its memory.
 CELLS = 1_000_000
+#: Bytes of text that are encoded and decoded at once, unless one text alone has more: arrays over them take some thirty times as much.
+SLICE_BYTES = 2 << 20
 #: Bytes of a match from which a heap takes the place of a row.
 LONG = 512
 
@@ -226,10 +228,10 @@ def encode_decode(docs: DataFrame, *, ranks: str, pattern: str, text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = bpe(ranks, pattern)
-        for batch in grouped(batches):
+        for batch in grouped(batches, SLICE_BYTES):
             keys = batch.column(0).to_pylist()
             offsets, data = buffers(batch.column(1))
-            for first, stop, ids, ends in model.memo.encode_column(batch.column(1)):
+            for first, stop, ids, ends in model.memo.encode_column(batch.column(1), SLICE_BYTES):
                 back, byte_ends = model.decode(ids)
                 byte_ends = np.concatenate([[0], byte_ends])
                 rows, begin, low = [], 0, 0
@@ -244,4 +246,4 @@ def encode_decode(docs: DataFrame, *, ranks: str, pattern: str, text: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds[:wide], strict=True)], names)
 
     rows = docs.selectExpr(f"cast(`{doc_id}` as bigint) as doc_id", f"cast(`{text}` as string) as text")
-    return rows.mapInArrow(run, ", ".join(fields[:wide]))
+    return rows.mapInArrow(resting(run), ", ".join(fields[:wide]))

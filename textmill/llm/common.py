@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,9 +86,49 @@ def n_words(text: Column) -> Column:
     return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, r"[\x20\x09-\x0D]+"))).cast("long")
 
 
+#: Memos that last longer than a call, by name.
+MEMOS: dict[str, dict] = {}
+
+
+def hand_back(keep: str | None = None) -> None:
+    """Empties the memos but one, and gives freed memory back to the system, which C libraries keep otherwise."""
+    for name, memo in MEMOS.items():
+        if name != keep:
+            memo.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def resting(run: Callable, keep: str | None = None) -> Callable:
+    """run, over an iterator of batches, with hand_back() at its end: Spark keeps the worker for later stages, beside the executor's heap."""
+
+    def rested(batches):
+        try:
+            yield from run(batches)
+        finally:
+            hand_back(keep)
+
+    return rested
+
+
+def resting_group(run: Callable) -> Callable:
+    """run, over a group, with hand_back() at its end."""
+
+    def rested(group):
+        try:
+            return run(group)
+        finally:
+            hand_back()
+
+    return rested
+
+
 @functools.cache
 def word_hashes() -> WordHashes:
-    return WordHashes()
+    return MEMOS.setdefault("words", WordHashes())
 
 
 class WordHashes(dict):

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import discard, prepare, shingle_hashes, stored
+from textmill.llm.common import discard, prepare, resting, resting_group, shingle_hashes, stored
 from textmill.llm.graph import connected_components
 
 #: n-grams that a fragment's task holds at once, about.
@@ -99,7 +99,7 @@ def ngram_segments(rows: DataFrame, n: int, fragments: int) -> DataFrame:
         if held:
             yield send()
 
-    return rows.mapInArrow(run, "fragment int, kind int, ids binary, counts binary, ngrams binary")
+    return rows.mapInArrow(resting(run), "fragment int, kind int, ids binary, counts binary, ngrams binary")
 
 
 def shared_ngrams(segments: DataFrame, buckets: int) -> DataFrame:
@@ -134,7 +134,7 @@ def shared_ngrams(segments: DataFrame, buckets: int) -> DataFrame:
                 out.append((int(bucket[at]), 0, pack(owner[part][own_at]), pack(own_n.astype(np.uint32)), pack(ngrams[part]), pack(freq[part])))
         return pd.DataFrame(out, columns=["bucket", "kind", "ids", "counts", "ngrams", "freq"])
 
-    return segments.groupBy("fragment").applyInPandas(run, "bucket int, kind int, ids binary, counts binary, ngrams binary, freq binary")
+    return segments.groupBy("fragment").applyInPandas(resting_group(run), "bucket int, kind int, ids binary, counts binary, ngrams binary, freq binary")
 
 
 def surviving_sets(shared: DataFrame, percent: int) -> DataFrame:
@@ -166,7 +166,7 @@ def surviving_sets(shared: DataFrame, percent: int) -> DataFrame:
                     keys[i] = f"{n[i]}-{xxhash.xxh3_128_hexdigest(body)}" if count >= n[i] else f"id-{ids[i]}"
         return pd.DataFrame({"doc_id": ids, "n": n, "n_shared": shared, "class_key": keys, "ngrams": packed})
 
-    return shared.groupBy("bucket").applyInPandas(run, "doc_id long, n long, n_shared long, class_key string, ngrams binary")
+    return shared.groupBy("bucket").applyInPandas(resting_group(run), "doc_id long, n long, n_shared long, class_key string, ngrams binary")
 
 
 def prefix_ngrams(classes: DataFrame, percent: int) -> DataFrame:
@@ -183,7 +183,7 @@ def prefix_ngrams(classes: DataFrame, percent: int) -> DataFrame:
             if docs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(docs)), pa.array(np.concatenate(grams))], ["doc_id", "ngram"])
 
-    return classes.select("doc_id", "n", "n_shared", "ngrams").mapInArrow(run, "doc_id long, ngram long")
+    return classes.select("doc_id", "n", "n_shared", "ngrams").mapInArrow(resting(run), "doc_id long, ngram long")
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -276,10 +276,10 @@ def count_tiles(tiles: DataFrame, percent: int, groups: int) -> DataFrame:
             return pd.DataFrame({"tile": [], "doc_id": [], "root": [], "links": []})
         return pd.DataFrame({"tile": np.concatenate(names), "doc_id": np.concatenate(docs), "root": np.concatenate(roots), "links": np.concatenate(links)})
 
-    cut = tiles.mapInArrow(segments, "tile string, side int, doc_id long, n long, copies long, ngrams binary, fragment int")
+    cut = tiles.mapInArrow(resting(segments), "tile string, side int, doc_id long, n long, copies long, ngrams binary, fragment int")
     group = F.pmod(F.xxhash64("tile"), F.lit(groups)).alias("part")
-    counted = cut.groupBy("fragment", group).applyInPandas(partial, "tile string, fragment int, ids binary, sizes binary, copies binary, sides binary, counts binary")
-    return counted.groupBy(group).applyInPandas(total, "tile string, doc_id long, root long, links long")
+    counted = cut.groupBy("fragment", group).applyInPandas(resting_group(partial), "tile string, fragment int, ids binary, sizes binary, copies binary, sides binary, counts binary")
+    return counted.groupBy(group).applyInPandas(resting_group(total), "tile string, doc_id long, root long, links long")
 
 
 def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -338,5 +338,5 @@ def ngram_join(docs: DataFrame, *, n: int = 5, percent: int = 80, text: str = "t
             none = pa.nulls(k, pa.int64())
             yield pa.RecordBatch.from_arrays([none, pa.array([len(shingle_hashes(t, n)) for t in b.column(0).to_pylist()], pa.int64()), none, pa.array([0] * k, pa.int64()), none], ["doc_id", "n_shingles", "component_id", "n_links", "class_id"])
 
-    nulls = rows.where(F.col("doc_id").isNull()).select("text").mapInArrow(lone, "doc_id long, n_shingles long, component_id long, n_links long, class_id long")
+    nulls = rows.where(F.col("doc_id").isNull()).select("text").mapInArrow(resting(lone), "doc_id long, n_shingles long, component_id long, n_links long, class_id long")
     return out.unionByName(nulls)

@@ -17,6 +17,8 @@ SLICE_BYTES = 6 << 20
 MEMO_BYTES = 64 << 20
 #: What a piece costs in a memo besides its bytes.
 ENTRY_BYTES = 160
+#: Stretches that are gathered at once.
+GATHERED = 1 << 17
 #: Longer pieces are not kept.
 LONGEST = 64
 
@@ -79,6 +81,8 @@ def ends_white(piece: bytes) -> bool:
 
 def gather(store: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of store that begin at starts and have the given sizes, one after the other."""
+    if len(sizes) > GATHERED:  # places take far more than what they find, so they are made for some stretches at a time
+        return np.concatenate([gather(store, starts[k : k + GATHERED], sizes[k : k + GATHERED]) for k in range(0, len(sizes), GATHERED)])
     ends = np.cumsum(sizes)
     total = int(ends[-1]) if len(ends) else 0
     at = np.arange(total, dtype=np.int64)
@@ -166,10 +170,10 @@ class PieceMemo:
         self.held += sum(map(len, some)) + ENTRY_BYTES * len(some) + 4 * len(body)
         return store, out_starts, out_sizes
 
-    def encode_column(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(first row, end, ids, ends) for slices of a column of texts: the ids of the rows in a row, and where each row's end."""
+    def encode_column(self, column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, end, ids, ends) for slices, of at most so many bytes or one row, of a column of texts: the ids of the rows in a row, and where each row's end."""
         offsets, data = buffers(column)
-        for first, end in slices(np.diff(offsets)):
+        for first, end in slices(np.diff(offsets), most):
             low, high = int(offsets[first]), int(offsets[end])
             raw = data[low:high]
             edges = offsets[first : end + 1] - low

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textmill.llm.common import discard, prepare, stored
+from textmill.llm.common import MEMOS, discard, prepare, resting, stored
 from textmill.llm.label_model import LabelModel, fit_linear
 
 BINS = 1 << 14
@@ -78,7 +78,7 @@ class Shapes(dict):
         return shape
 
 
-_SHAPES = Shapes()
+_SHAPES = MEMOS["shapes"] = Shapes()
 
 
 def features(text: str, m: list[float]) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +107,7 @@ def fit(docs: DataFrame, *, max_fit: int = MAX_FIT) -> tuple[np.ndarray, float,
             once, n = np.unique(np.array(out, object).astype(str), return_counts=True) if out else ([], [])
             yield pa.RecordBatch.from_arrays([pa.array(list(once), pa.string()), pa.array(list(map(int, n)), pa.int64())], ["pattern", "n"])
 
-    seen = docs.select("text").mapInArrow(votes, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
+    seen = docs.select("text").mapInArrow(resting(votes, "shapes"), "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     if not seen:
         return np.zeros(BINS), 2.0, None
     seen = sorted((r.pattern, r.n) for r in seen)
@@ -128,7 +128,7 @@ def fit(docs: DataFrame, *, max_fit: int = MAX_FIT) -> tuple[np.ndarray, float,
 
     # of rows that repeat an id the least text speaks, so that a hot id adds one row
     once = docs.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    rows = sorted(map(tuple, once.mapInArrow(sampled, "doc_id long, votes array<int>, at binary, value binary").collect()))
+    rows = sorted(map(tuple, once.mapInArrow(resting(sampled, "shapes"), "doc_id long, votes array<int>, at binary, value binary").collect()))
     discard(chosen)
     if not rows:
         return np.zeros(BINS), 2.0, model
@@ -167,7 +167,7 @@ def keep_good(docs: DataFrame, *, threshold: float = 0.3, max_fit: int = MAX_FIT
         for b in batches:
             yield b.filter(pa.array(scorer.scores(b.column(at).to_pylist()) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(resting(run, "shapes"), docs.schema)
 
 
 def classify_quality(docs: DataFrame, *, threshold: float = 0.3, max_fit: int = MAX_FIT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -186,4 +186,4 @@ def classify_quality(docs: DataFrame, *, threshold: float = 0.3, max_fit: int =
             s = scorer.scores(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array(s >= threshold)], ["doc_id", "score", "kept"])
 
-    return rows.mapInArrow(run, "doc_id long, score double, kept boolean")
+    return rows.mapInArrow(resting(run, "shapes"), "doc_id long, score double, kept boolean")
